@@ -1,3 +1,4 @@
 """Import every query module so the registry is complete."""
 
 from sluice.catalog import batch_queries, flagship  # noqa: F401
+from sluice.catalog import clean_queries  # noqa: F401,E402
