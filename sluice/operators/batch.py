@@ -96,16 +96,23 @@ def after(df: DataFrame, column: str, start_us: int | None, inclusive: bool = Fa
 def cap_cutoff(df: DataFrame, column: str, start_us: int | None, cap: int, fanout: int = DEFAULT_FANOUT) -> int | None:
     """Microseconds of the ``cap``-th oldest version after ``start`` (exclusive);
     the newest version when fewer rows qualify; None when none do."""
+    return cap_cutoff_rows(df, column, start_us, cap, fanout)[0]
+
+
+def cap_cutoff_rows(df: DataFrame, column: str, start_us: int | None, cap: int,
+                    fanout: int = DEFAULT_FANOUT) -> tuple[int | None, int]:
+    """``(cutoff_us, rows)``: the cutoff and the exact number of rows in
+    ``(start, cutoff]`` (ties at the cutoff included)."""
     if cap < 1:
         raise ValueError("cap must be >= 1")
     scope = df.select(column).where(after(df, column, start_us))
     us = micros_of(df, column)
     stats = scope.agg(F.count(F.lit(1)).alias("n"), F.min(us).alias("lo"), F.max(us).alias("hi")).first()
     if stats is None or not stats["n"]:
-        return None
+        return None, 0
     if stats["n"] <= cap:
-        return int(stats["hi"])
-    lo, hi, need = int(stats["lo"]), int(stats["hi"]), cap  # answer lies in [lo, hi]
+        return int(stats["hi"]), int(stats["n"])
+    lo, hi, before, rows = int(stats["lo"]), int(stats["hi"]), 0, int(stats["n"])  # answer lies in [lo, hi]
     while lo < hi:
         width = -(-(hi - lo + 1) // fanout)
         level = (
@@ -115,13 +122,13 @@ def cap_cutoff(df: DataFrame, column: str, start_us: int | None, cap: int, fanou
             .collect()  # at most `fanout` rows
         )
         for row in sorted(level, key=lambda r: r["b"]):
-            if row["n"] >= need:
-                lo, hi = int(row["lo"]), int(row["hi"])
+            if before + row["n"] >= cap:
+                lo, hi, rows = int(row["lo"]), int(row["hi"]), before + int(row["n"])
                 break
-            need -= row["n"]
+            before += row["n"]
         else:  # pragma: no cover - counts are exact, so a bucket always crosses
             raise RuntimeError("cutoff refinement lost rows")
-    return lo
+    return lo, rows
 
 
 @dataclass(frozen=True)
@@ -132,6 +139,7 @@ class BatchWindow:
     start_us: int | None
     cutoff_us: int | None
     inclusive_start: bool = False
+    rows: int | None = None  # rows in (start, cutoff]; None when unknown
 
     @property
     def empty(self) -> bool:
@@ -174,8 +182,10 @@ def resolve_window(
     start_us = parse_start(df, version, start)
     if start_us is not None:
         start_us += offset_ms * 1000
-    cutoff = cap_cutoff(df, version, start_us, cap, fanout)
-    return BatchWindow(version, start_us, cutoff, inclusive_start=(mode == "backfill"))
+    cutoff, rows = cap_cutoff_rows(df, version, start_us, cap, fanout)
+    if mode == "backfill" and start_us is not None and cutoff is not None:
+        rows += df.where(F.col(version) == literal_at(df, version, start_us)).count()
+    return BatchWindow(version, start_us, cutoff, inclusive_start=(mode == "backfill"), rows=rows)
 
 
 def batch_bounds(df: DataFrame, window: BatchWindow, id_col: str = "id") -> DataFrame:
