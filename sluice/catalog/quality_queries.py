@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sluice.catalog.registry import query, table
+from sluice.catalog.registry import ORACLES, query, table
 from sluice.functions import repairs as RP
 from sluice.operators import quality as Q
 from sluice.operators import state as S
@@ -211,23 +211,41 @@ _RUN_SQL_SRC = """
     FROM latest l LEFT JOIN customer c ON l.o_custkey = c.c_custkey""")
 def batch_runs(spark, sf):
     """Whole lifecycle: capped batches (5000 rows) until the source is
-    drained; each run cleans, enriches, merges into the curated table, and
-    persists the advanced bookmark.  Returns the final curated table."""
+    drained; each run cleans, enriches, appends a part to the curated
+    replacing table and persists the advanced bookmark; then the parts are
+    compacted.  Returns the FINAL view (latest version per id)."""
     source = _run_source(spark, sf)
     curated_root, state_root = shared_dir(spark, "curated-runs"), shared_dir(spark, "state-runs")
     spec = _spec()
-    W.commit_next(spark, S.empty_state(spark), state_root)
+    W.write_version(S.empty_state(spark), state_root, 0)
 
     def resolver(name, from_warehouse):
         return table(spark, sf, name)
 
-    for _ in range(1000):  # bounded by rows / cap
-        state = W.read_table(spark, state_root)
-        res = run_batch(spark, spec, "sales", source, state, curated_root, cap=RUN_CAP, resolver=resolver)
-        W.commit_next(spark, res.state, state_root)
+    for run in range(1, 1000):  # bounded by rows / cap
+        state = spark.read.parquet(f"{state_root}/version={run - 1}")
+        res = run_batch(spark, spec, "sales", source, state, curated_root, cap=RUN_CAP, resolver=resolver, snapshot=0)
+        W.write_version(res.state, state_root, run)
         if not res.loaded:
             break
-    return W.read_table(spark, curated_root)
+    W.compact(spark, curated_root, key="id", version="updated_at")
+    return W.read_final(spark, curated_root, key="id", version="updated_at")
+
+
+ORACLES_BATCH_RUNS = ORACLES["batch_runs"]
+
+
+@query("batch_run_full", sql=ORACLES_BATCH_RUNS)
+def batch_run_full(spark, sf):
+    """One run with the reference's 10 M cap (the whole source in one batch
+    at these sizes), then compaction; equals ``batch_runs``."""
+    source = _run_source(spark, sf)
+    curated_root = shared_dir(spark, "curated-full")
+    res = run_batch(spark, _spec(), "sales", source, S.empty_state(spark), curated_root,
+                    resolver=lambda name, wh: table(spark, sf, name), snapshot=0)
+    assert res.loaded
+    W.compact(spark, curated_root, key="id", version="updated_at")
+    return W.read_final(spark, curated_root, key="id", version="updated_at")
 
 
 @query("run_audit", sql=f"""
