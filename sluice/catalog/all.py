@@ -6,3 +6,4 @@ from sluice.catalog import rule_queries  # noqa: F401,E402
 from sluice.catalog import merge_queries  # noqa: F401,E402
 from sluice.catalog import join_queries, state_queries  # noqa: F401,E402
 from sluice.catalog import quality_queries  # noqa: F401,E402
+from sluice.catalog import stream_queries  # noqa: F401,E402

@@ -8,7 +8,7 @@ from sluice.catalog import sqlx as X
 from sluice.catalog.dirty import dirty_customer, dirty_customer_sql
 from sluice.catalog.registry import query
 from sluice.functions import cleaners as C
-from sluice.plans.recipes import phone_columns
+from sluice.plans.recipes import add_phone_columns
 
 D = dirty_customer_sql()
 
@@ -41,7 +41,7 @@ def _status_sql(c):
     SELECT id, {_status_sql('phone')} AS phone_status, {_status_sql('contact_phone')} AS contact_phone_status
     FROM {D}""")
 def phone_status(spark, sf):
-    d = dirty_customer(spark, sf).withColumns({**phone_columns("phone"), **phone_columns("contact_phone")})
+    d = add_phone_columns(dirty_customer(spark, sf), ["phone", "contact_phone"])
     return d.select("id", "phone_status", "contact_phone_status")
 
 

@@ -31,18 +31,26 @@ def invoice_item(df: DataFrame, flags: Sequence[str] = INVOICE_ITEM_FLAGS) -> Da
     return df.withColumns({c: C.clean_boolean(c) for c in flags})
 
 
-def phone_columns(column: str) -> dict:
-    """CL-1..3 for one phone column: ``<c>_normalized``, ``<c>_valid``,
-    ``<c>_normalized_valid``, ``<c>_status`` (in the reference's order)."""
-    norm = C.normalize_phone(column)
-    valid = C.phone_is_valid(column)
-    norm_valid = C.phone_is_valid(norm)
-    return {
-        f"{column}_normalized": norm,
-        f"{column}_valid": valid,
-        f"{column}_normalized_valid": norm_valid,
-        f"{column}_status": C.phone_status(valid, norm_valid),
-    }
+def phone_stages(column: str) -> list[dict]:
+    """CL-1..3 for one phone column as three stacked projections:
+    ``<c>_normalized``; then ``<c>_valid`` and ``<c>_normalized_valid``; then
+    ``<c>_status`` (the reference's column order).  Each stage reads the
+    previous stage's columns, so every regex runs once per row (Catalyst
+    does not re-inline expensive expressions into a consumer that uses them
+    more than once)."""
+    norm = f"{column}_normalized"
+    return [
+        {norm: C.normalize_phone(column)},
+        {f"{column}_valid": C.phone_is_valid(column), f"{norm}_valid": C.phone_is_valid(norm)},
+        {f"{column}_status": C.phone_status(f"{column}_valid", f"{norm}_valid")},
+    ]
+
+
+def add_phone_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    stages = [phone_stages(c) for c in columns]
+    for i in range(3):
+        df = df.withColumns({k: v for st in stages for k, v in st[i].items()})
+    return df
 
 
 def customer(
@@ -62,8 +70,6 @@ def customer(
     changes: dict = {}
     for group in address_groups:
         changes.update(dict(zip(group, C.clean_address(group))))
-    for p in phones:
-        changes.update(phone_columns(p))
     changes[nik] = C.clean_nik(nik)
     changes[lat], changes[lon] = C.clean_coordinates(lat, lon)
     changes[postal] = C.clean_postal_code(postal)
@@ -72,7 +78,8 @@ def customer(
     changes[city] = C.clean_location(city)
     for p in padded:
         changes[p] = C.clean_padded_char(p, YES_NO)
-    return df.withColumns(changes)
+    out = df.withColumns(changes)
+    return add_phone_columns(out, phones)
 
 
 def invoice(df: DataFrame, selling_type: str = "selling_type", status: str = "status") -> DataFrame:
