@@ -78,25 +78,38 @@ def phone_status(valid, normalized_valid) -> Column:
     return F.when(v & n, F.lit("valid")).when(~v & ~n, F.lit("invalid")).otherwise(F.lit("check"))
 
 
-def clean_address(cols: Sequence) -> list[Column]:
-    """CL-4: trim + initcap each column, blank -> NULL, and a later column
-    equal to any earlier (cleaned) one -> NULL.
+def address_part(c) -> Column:
+    """CL-4, first stage: trim + initcap, blank -> NULL."""
+    return blank_to_null(F.initcap(F.trim(as_col(c))))
+
+
+def drop_repeats(cols: Sequence) -> list[Column]:
+    """CL-4, second stage: a column equal to any earlier one -> NULL.
 
     Equivalent to the reference's pairwise in-place loop: the first
     occurrence of a value always survives, so a later column is blanked iff
-    it equals any earlier cleaned column.  One projection, no n^2 chain.
+    it equals any earlier (cleaned) column.
     """
-    cleaned = [blank_to_null(F.initcap(F.trim(as_col(c)))) for c in cols]
+    cs = [as_col(c) for c in cols]
     out = []
-    for j, cj in enumerate(cleaned):
+    for j, cj in enumerate(cs):
         if j == 0:
             out.append(cj)
             continue
-        dup = reduce(lambda a, b: a | b, [cj == ci for ci in cleaned[:j]])
+        dup = reduce(lambda a, b: a | b, [cj == ci for ci in cs[:j]])
         out.append(F.when(dup, F.lit(None).cast("string")).otherwise(cj))
     return out
 
 
+def clean_address(cols: Sequence) -> list[Column]:
+    """CL-4 as plain expressions: trim + initcap each column, blank -> NULL,
+    and a later column equal to any earlier cleaned one -> NULL.  Recipes
+    apply the two stages as two projections (``address_part`` then
+    ``drop_repeats`` over the cleaned columns) so each value is cleaned
+    once per row."""
+    return drop_repeats([address_part(c) for c in cols])
+
+
 def clean_name(c) -> Column:
     """CL-5: keep letters (incl. the Latin-1 range), apostrophes, hyphens and
     whitespace; collapse whitespace; trim; initcap; blank -> NULL."""

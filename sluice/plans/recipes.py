@@ -69,7 +69,7 @@ def customer(
     names, city and padded flags, as one projection."""
     changes: dict = {}
     for group in address_groups:
-        changes.update(dict(zip(group, C.clean_address(group))))
+        changes.update({c: C.address_part(c) for c in group})
     changes[nik] = C.clean_nik(nik)
     changes[lat], changes[lon] = C.clean_coordinates(lat, lon)
     changes[postal] = C.clean_postal_code(postal)
@@ -79,6 +79,7 @@ def customer(
     for p in padded:
         changes[p] = C.clean_padded_char(p, YES_NO)
     out = df.withColumns(changes)
+    out = out.withColumns({c: e for g in address_groups for c, e in zip(g, C.drop_repeats(g))})
     return add_phone_columns(out, phones)
 
 
