@@ -248,6 +248,31 @@ def batch_run_full(spark, sf):
     return W.read_final(spark, curated_root, key="id", version="updated_at")
 
 
+@query("landing_extract_transform", sql=f"""
+    WITH src AS ({_RUN_SQL_SRC}),
+    w AS (SELECT * FROM src WHERE updated_at <= (SELECT max(updated_at) FROM (SELECT updated_at FROM src
+          ORDER BY updated_at LIMIT {RUN_CAP}))),
+    latest AS (SELECT * FROM w WHERE deleted = false
+               QUALIFY row_number() OVER (PARTITION BY id ORDER BY updated_at DESC) = 1)
+    SELECT l.id, l.o_orderstatus, TRY_CAST(round(CAST(l.o_totalprice AS DECIMAL(38,10)), 1) AS DECIMAL(10,1)) AS o_totalprice,
+           upper(trim(l.o_orderpriority)) AS priority, c.c_mktsegment AS segment, l.created_at, l.updated_at
+    FROM latest l LEFT JOIN customer c ON l.o_custkey = c.c_custkey""")
+def landing_extract_transform(spark, sf):
+    """E2 + E3 with DX-10: the first capped window is extracted to landing,
+    partitioned by the registry's ``partition_by`` (order status), then read
+    back and transformed (dedup, join, rules, declared schema)."""
+    from sluice.operators import batch as B
+    from sluice.plans.run import extract_batch, transform_batch
+
+    spec = _spec()
+    spec.partition_by = "o_orderstatus"
+    source = _run_source(spark, sf)
+    window = B.resolve_window(source, "updated_at", None, RUN_CAP)
+    landing = shared_dir(spark, "landing-orders")
+    extract_batch(source, spec, window, landing, batch_id=1)
+    return transform_batch(spark, spec, landing, 1, resolver=lambda name, wh: table(spark, sf, name))
+
+
 @query("run_audit", sql=f"""
     WITH src AS ({_RUN_SQL_SRC}),
     b AS (SELECT *, CASE WHEN updated_at <= (SELECT max(updated_at) FROM (SELECT updated_at FROM src ORDER BY updated_at LIMIT {RUN_CAP}))
