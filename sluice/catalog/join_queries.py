@@ -119,3 +119,20 @@ def enrich_from_warehouse(spark, sf):
     conf = {"with_table": "customer", "how": "left", "left": "o_custkey", "right": "c_custkey",
             "right_table_columns": ["c_name"], "clickhouse": True}
     return enrich_from(resolver, table(spark, sf, "orders"), conf)
+
+
+_HOT = "CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_orderkey END"
+
+
+@query("enrich_hot_key", sql=f"""
+    SELECT l.l_orderkey, l.l_linenumber, l.l_quantity, l.order_ref, o.o_orderstatus AS orders__o_orderstatus,
+           o.o_orderdate AS orders__o_orderdate
+    FROM (SELECT l_orderkey, l_linenumber, l_quantity, {_HOT} AS order_ref FROM lineitem) l
+    LEFT JOIN orders o ON l.order_ref = o.o_orderkey""")
+def enrich_hot_key(spark, sf):
+    """JN-1 with one key holding a third of the left rows: the hot key is
+    found by a partial aggregate and spread over 16 salted join tasks; the
+    result equals the plain left join."""
+    left = table(spark, sf, "lineitem").selectExpr("l_orderkey", "l_linenumber", "l_quantity", f"{_HOT} AS order_ref")
+    return enrich(left, table(spark, sf, "orders"), "orders", "order_ref", "o_orderkey", how="left",
+                  right_columns=["o_orderstatus", "o_orderdate"], salt_buckets=16, hot_key_rows=1000)

@@ -24,6 +24,42 @@ _HOWS = {
 _FILTERING = {"semi", "leftsemi", "left_semi", "anti", "leftanti", "left_anti"}
 
 
+_SALTABLE = {"inner", "left", "leftouter", "left_outer", "semi", "leftsemi", "left_semi", "anti", "leftanti", "left_anti"}
+_SALT = "__sluice_salt"
+HOT_KEYS_BROADCAST_MAX = 100_000
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int) -> DataFrame:
+    """Keys with at least ``min_rows`` rows (a partial aggregate; at most
+    ``rows / min_rows`` keys qualify, so the result has a proven bound)."""
+    return df.groupBy(*keys).count().where(F.col("count") >= min_rows).select(*keys)
+
+
+def _salted(left: DataFrame, right: DataFrame, lkeys, rkeys, how: str, buckets: int, min_rows: int) -> DataFrame:
+    """Skew-safe equi-join: rows of a hot key are spread over ``buckets``
+    salts chosen by a hash of the whole left row (deterministic, so a
+    retried task salts identically); the right rows of hot keys are
+    replicated once per salt, all other rows keep salt 0.  Every left row
+    meets exactly the right rows it would meet unsalted, so the result is
+    the plain join's, for inner / left / semi / anti joins."""
+    hot = hot_keys(left, lkeys, min_rows).withColumn("__hot", F.lit(True))
+    max_hot = HOT_KEYS_BROADCAST_MAX  # beyond this the hot-key set is joined by shuffle
+    hot_l = F.broadcast(hot) if fits_broadcast(hot, max_hot) else hot
+    lh = left.join(hot_l, list(lkeys), "left")
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*[left[c] for c in left.columns]), F.lit(buckets))).otherwise(F.lit(0))
+    ls = lh.withColumn(_SALT, salt.cast("int")).drop("__hot")
+    hot_r = hot.select(*[F.col(lk).alias(rk) for lk, rk in zip(lkeys, rkeys)], "__hot")
+    rh = right.join(F.broadcast(hot_r) if fits_broadcast(hot_r, max_hot) else hot_r, list(rkeys), "left")
+    salts = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
+    rs = rh.withColumn(_SALT, F.explode(salts)).drop("__hot")
+    cond = ls[_SALT] == rs[_SALT]
+    for lk, rk in zip(lkeys, rkeys):
+        cond = cond & (ls[lk] == rs[rk])
+    out = ls.join(rs, cond, how)
+    keep = [ls[c] for c in left.columns] + ([] if how in _FILTERING else [rs[c] for c in right.columns])
+    return out.select(*keep)
+
+
 def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (reads at most
     ``max_rows + 1`` rows to decide)."""
@@ -46,6 +82,8 @@ def enrich(
     filter_rows: Mapping[str, str] | None = None,
     replace_columns: Mapping[str, str] | None = None,
     broadcast_max_rows: int | None = None,
+    salt_buckets: int | None = None,
+    hot_key_rows: int = 1_000_000,
 ) -> DataFrame:
     """JN-1: ``left ⋈ right`` on equal keys; output = all left columns +
     ``<right_name>__<c>`` for each requested right column.
@@ -55,6 +93,9 @@ def enrich(
     exploits).  ``replace_columns`` {left_col: right_col} overwrites a left
     column with the right value where the right value is not NULL (DX-9).
     Semi and anti joins accept no right columns, filters or replacements.
+
+    ``salt_buckets`` spreads hot keys (keys with at least ``hot_key_rows``
+    left rows) over that many join tasks: see ``_salted``.
     """
     how = how.lower()
     if how not in _HOWS:
@@ -72,11 +113,16 @@ def enrich(
     r = prefixed(right, right_name, needed)
     if broadcast_max_rows is not None and fits_broadcast(r, broadcast_max_rows):
         r = F.broadcast(r)
-    cond = None
-    for lk, rk in zip(lkeys, rkeys):
-        term = left[lk] == r[f"{right_name}{SEP}{rk}"]
-        cond = term if cond is None else cond & term
-    joined = left.join(r, cond, how)
+    if salt_buckets and salt_buckets > 1:
+        if how not in _SALTABLE:
+            raise ValueError("salting is exact only for inner, left, semi and anti joins")
+        joined = _salted(left, r, lkeys, [f"{right_name}{SEP}{k}" for k in rkeys], how, salt_buckets, hot_key_rows)
+    else:
+        cond = None
+        for lk, rk in zip(lkeys, rkeys):
+            term = left[lk] == r[f"{right_name}{SEP}{rk}"]
+            cond = term if cond is None else cond & term
+        joined = left.join(r, cond, how)
     for lc, rc in filter_rows.items():
         joined = joined.where(F.col(lc) == F.col(f"{right_name}{SEP}{rc}"))
     if how in _FILTERING:
@@ -111,4 +157,6 @@ def enrich_from(
         filter_rows=join_conf.get("filter_rows"),
         replace_columns=join_conf.get("replace_columns"),
         broadcast_max_rows=join_conf.get("broadcast_max_rows"),
+        salt_buckets=join_conf.get("salt_buckets"),
+        hot_key_rows=join_conf.get("hot_key_rows", 1_000_000),
     )

@@ -73,3 +73,16 @@ def test_state_protocol(spark):
     assert sorted(tuple(r) for r in S.eligible_tables(pairs, st2, reg, "backfill").collect()) == [("s", "b")]
     st3 = S.update_state(st2, S.single_update(spark, "s", "b", status="running"))
     assert S.lookup(st3, "s", "b").collect()[0]["etl_status"] == "running"  # status-only update persists
+
+
+def test_salted_join_equals_plain_join(spark):
+    left = spark.range(0, 30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).alias("k"), F.col("id").alias("v"))
+    right = spark.range(0, 400).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    plain = enrich(left, right, "r", "k", "k", how="left", right_columns=["w"])
+    salted = enrich(left, right, "r", "k", "k", how="left", right_columns=["w"], salt_buckets=8, hot_key_rows=5000)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, salted.collect()))
+    anti = enrich(left, right, "r", "k", "k", how="left_anti", salt_buckets=8, hot_key_rows=5000)
+    assert anti.count() == left.where("k >= 400").count()
+    with pytest.raises(ValueError):
+        enrich(left, right, "r", "k", "k", how="full", right_columns=["w"], salt_buckets=8)
