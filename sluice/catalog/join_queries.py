@@ -74,7 +74,7 @@ def enrich_anti(spark, sf):
 def enrich_filter_rows(spark, sf):
     """PF-10: keep joined rows whose left column equals a right column."""
     left = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey",
-                                               (F.col("c_custkey") % 5).cast("int").alias("region_hint"))
+                                               (F.col("c_custkey") % 5).alias("region_hint"))
     return enrich(left, table(spark, sf, "nation"), "nation", "c_nationkey", "n_nationkey", how="left",
                   right_columns=["n_name"], filter_rows={"region_hint": "n_regionkey"})
 
@@ -85,7 +85,7 @@ def enrich_filter_rows(spark, sf):
     FROM customer c LEFT JOIN nation n ON c.c_custkey % 30 = n.n_nationkey""")
 def replace_columns(spark, sf):
     """DX-9: a left column replaced by the right value where one exists."""
-    left = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", (F.col("c_custkey") % 30).cast("int").alias("nk"))
+    left = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", (F.col("c_custkey") % 30).alias("nk"))
     return enrich(left, table(spark, sf, "nation"), "nation", "nk", "n_nationkey", how="left",
                   right_columns=["n_regionkey"], replace_columns={"c_mktsegment": "n_name"})
 

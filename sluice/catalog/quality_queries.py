@@ -18,15 +18,17 @@ _AMT = "CAST(l_extendedprice AS DECIMAL(18,2))"
 
 
 @query("reconcile", sql=f"""
-    WITH t AS (SELECT l_orderkey AS key, sum({_AMT}) AS items_total, count(*) AS item_rows FROM lineitem GROUP BY 1),
+    WITH t AS (SELECT l_orderkey AS key, CAST(sum({_AMT}) AS DECIMAL(28,2)) AS items_total, count(*) AS item_rows
+               FROM lineitem GROUP BY 1),
     h AS (SELECT o_orderkey AS key, CAST(o_totalprice AS DECIMAL(18,2)) AS header_total FROM orders)
     SELECT COALESCE(h.key, t.key) AS key, h.header_total, t.items_total, COALESCE(t.item_rows, 0) AS item_rows,
-           h.header_total - t.items_total AS difference,
+           CAST(h.header_total - t.items_total AS DECIMAL(29,2)) AS difference,
            CASE WHEN t.item_rows IS NULL THEN 'missing_items' WHEN h.header_total IS NULL THEN 'orphan_items'
                 WHEN abs(h.header_total - t.items_total) <= 0.1 THEN 'match' ELSE 'mismatch' END AS status
     FROM h FULL JOIN t ON h.key = t.key""")
 def reconcile(spark, sf):
-    """DX-8: invoice (orders) totals vs the sum of their items (lineitem)."""
+    """DX-8: invoice (orders) totals vs the sum of their items (lineitem).
+    Spark sums decimal(18,2) as decimal(28,2); the oracle states that type."""
     return Q.reconcile(table(spark, sf, "lineitem"), table(spark, sf, "orders"), "l_orderkey", "o_orderkey",
                        F.col("l_extendedprice").cast("decimal(18,2)"), F.col("o_totalprice").cast("decimal(18,2)"))
 
