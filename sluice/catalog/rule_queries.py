@@ -240,6 +240,13 @@ def recipe_product(spark, sf):
     return R.product(p)
 
 
-@query("recipe_geo", sql="SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query("recipe_geo", sql="""
+    SELECT c.c_custkey AS geo_id, n.n_name AS nation, r.r_name AS region
+    FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey""")
 def recipe_geo(spark, sf):
-    return R.geo_tree(table(spark, sf, "nation"))
+    """TP-6 (identity) over a geo tree: each customer's location with its
+    nation and region."""
+    c, n, r = table(spark, sf, "customer"), table(spark, sf, "nation"), table(spark, sf, "region")
+    tree = (c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+            .select(F.col("c_custkey").alias("geo_id"), F.col("n_name").alias("nation"), F.col("r_name").alias("region")))
+    return R.geo_tree(tree)

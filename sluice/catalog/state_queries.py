@@ -1,6 +1,9 @@
 """Pipeline-state queries (ST-1..ST-9, JN-3) over a registry derived from
-nation ⋈ region: schema = region, table = nation, readiness / backfill /
-dependency derived from the nation key."""
+supplier ⋈ nation ⋈ region: one managed table per supplier
+(``supplier_<key>``), its schema the supplier's region, readiness /
+backfill / dependency derived from the supplier key.  The registry and the
+state grow with the supplier table, so every query here scales with the
+data like the rest of the catalog."""
 
 from __future__ import annotations
 
@@ -10,41 +13,56 @@ from sluice.catalog.registry import query, table
 from sluice.operators import state as S
 
 _REG_SQL = """reg AS (
-  SELECT lower(n.n_name) AS table_name, lower(r.r_name) AS rschema, n.n_nationkey AS k,
-         CASE WHEN n.n_nationkey % 4 = 1 AND n.n_nationkey >= 5 THEN 'nation_' || CAST(n.n_nationkey - 5 AS VARCHAR) END AS dependent_table
-  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+  SELECT 'supplier_' || CAST(s.s_suppkey AS VARCHAR) AS table_name, lower(r.r_name) AS rschema, s.s_suppkey AS k,
+         CASE WHEN s.s_suppkey % 4 = 1 AND s.s_suppkey >= 5 THEN 'supplier_' || CAST(s.s_suppkey - 5 AS VARCHAR) END
+           AS dependent_table
+  FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)"""
 _PAIRS_SQL = """pairs AS (
   SELECT rschema AS schema, table_name FROM reg WHERE k % 3 <> 0
   UNION ALL SELECT 'archive' AS schema, table_name FROM reg WHERE k % 2 = 0)"""
 _OLD_SQL = """old AS (
   SELECT rschema AS schema, table_name, TIMESTAMP '2024-01-01' + to_days(CAST(k AS INTEGER)) AS last_extracted_time,
          CAST(NULL AS TIMESTAMP) AS last_successful_load_time, 'idle' AS etl_status, k % 4 = 0 AS backfill, 'v1.0' AS etl_version
-  FROM reg WHERE k % 2 = 0)"""
+  FROM reg WHERE k % 2 = 0
+  UNION ALL
+  SELECT 'archive' AS schema, table_name, TIMESTAMP '2024-01-01' + INTERVAL 1 HOUR * CAST(k AS INTEGER),
+         CAST(NULL AS TIMESTAMP), 'idle', k % 8 = 2, 'v1.0'
+  FROM reg WHERE k % 4 = 2)"""
 _SEEDED_SQL = """seeded AS (
   SELECT * FROM old UNION ALL
   SELECT p.schema, p.table_name, CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP), 'idle', true, 'v1.0' FROM pairs p
   WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.schema = p.schema AND o.table_name = p.table_name))"""
 WITH_SEEDED = f"WITH {_REG_SQL},\n{_PAIRS_SQL},\n{_OLD_SQL},\n{_SEEDED_SQL}"
+_T0 = "TIMESTAMP_NTZ '2024-01-01 00:00:00'"
+
+
+def _supplier_table(k):
+    return F.concat(F.lit("supplier_"), k.cast("string"))
 
 
 def registry(spark, sf):
-    n, r = table(spark, sf, "nation"), table(spark, sf, "region")
-    k = F.col("n_nationkey")
-    return n.join(r, n.n_regionkey == r.r_regionkey).select(
-        F.lower("n_name").alias("table_name"),
+    s, n, r = table(spark, sf, "supplier"), table(spark, sf, "nation"), table(spark, sf, "region")
+    k = F.col("s_suppkey")
+    return (s.join(n, s.s_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey).select(
+        _supplier_table(k).alias("table_name"),
         F.create_map(F.lower("r_name"), k % 3 != 0, F.lit("archive"), k % 2 == 0).alias("ready"),
-        F.when((k % 4 == 1) & (k >= 5), F.concat(F.lit("nation_"), (k - 5).cast("string"))).alias("dependent_table"),
-        F.lower("r_name").alias("rschema"), k.alias("k"))
+        F.when((k % 4 == 1) & (k >= 5), _supplier_table(k - 5)).alias("dependent_table"),
+        F.lower("r_name").alias("rschema"), k.alias("k")))
 
 
 def old_state(spark, sf):
     reg = registry(spark, sf)
     k = F.col("k")
-    return reg.where(k % 2 == 0).select(
+    common = [F.lit(None).cast("timestamp_ntz").alias("last_successful_load_time"), F.lit("idle").alias("etl_status")]
+    own = reg.where(k % 2 == 0).select(
         F.col("rschema").alias("schema"), "table_name",
-        F.timestamp_add("DAY", k, F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'")).alias("last_extracted_time"),
-        F.lit(None).cast("timestamp_ntz").alias("last_successful_load_time"), F.lit("idle").alias("etl_status"),
+        F.timestamp_add("DAY", k, F.expr(_T0)).alias("last_extracted_time"), *common,
         (k % 4 == 0).alias("backfill"), F.lit("v1.0").alias("etl_version"))
+    archive = reg.where(k % 4 == 2).select(
+        F.lit("archive").alias("schema"), "table_name",
+        F.timestamp_add("HOUR", k, F.expr(_T0)).alias("last_extracted_time"), *common,
+        (k % 8 == 2).alias("backfill"), F.lit("v1.0").alias("etl_version"))
+    return own.unionByName(archive)
 
 
 def seeded(spark, sf):
@@ -64,10 +82,10 @@ def state_seed(spark, sf):
 
 
 @query("state_lookup", sql=f"""{WITH_SEEDED}
-    SELECT schema, table_name, last_extracted_time FROM seeded WHERE schema = 'asia' AND table_name = 'nation_12'""")
+    SELECT schema, table_name, last_extracted_time FROM seeded WHERE schema = 'archive' AND table_name = 'supplier_2'""")
 def state_lookup(spark, sf):
     """ST-3: one table's bookmark."""
-    return S.lookup(seeded(spark, sf), "asia", "nation_12").select("schema", "table_name", "last_extracted_time")
+    return S.lookup(seeded(spark, sf), "archive", "supplier_2").select("schema", "table_name", "last_extracted_time")
 
 
 @query("state_mode", sql=f"""{WITH_SEEDED}
@@ -99,14 +117,14 @@ def eligible_incremental(spark, sf):
 
 
 _UPD_SQL = """upd AS (
-  SELECT lower(r.r_name) AS schema, lower(n.n_name) AS table_name,
-         CASE WHEN n.n_nationkey % 7 = 0 THEN 'running' ELSE 'idle' END AS etl_status,
-         CASE WHEN n.n_nationkey % 7 = 0 THEN NULL ELSE max(o.o_orderdate) END AS extracted_time,
-         CASE WHEN n.n_nationkey % 7 = 0 THEN NULL ELSE TIMESTAMP '2024-02-01 10:20:30.123' END AS loaded_time,
-         count(*) < 600 AS remove_backfill
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-  JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
-  GROUP BY 1, 2, n.n_nationkey)"""
+  SELECT lower(r.r_name) AS schema, 'supplier_' || CAST(s.s_suppkey AS VARCHAR) AS table_name,
+         CASE WHEN s.s_suppkey % 7 = 0 THEN 'running' ELSE 'idle' END AS etl_status,
+         CASE WHEN s.s_suppkey % 7 = 0 THEN NULL ELSE l.max_version END AS extracted_time,
+         CASE WHEN s.s_suppkey % 7 = 0 THEN NULL ELSE TIMESTAMP '2024-02-01 10:20:30.123' END AS loaded_time,
+         l.batch_rows < 600 AS remove_backfill
+  FROM (SELECT l_suppkey, max(l_shipdate) AS max_version, count(*) AS batch_rows FROM lineitem GROUP BY l_suppkey) l
+  JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)"""
 
 
 @query("state_update", sql=f"""{WITH_SEEDED},
@@ -118,15 +136,19 @@ _UPD_SQL = """upd AS (
       CASE WHEN COALESCE(u.remove_backfill, false) THEN false ELSE s.backfill END AS backfill, s.etl_version
     FROM seeded s LEFT JOIN upd u ON s.schema = u.schema AND s.table_name = u.table_name""")
 def state_update(spark, sf):
-    """ST-4 (bulk, including status-only updates) + ST-9: per nation table,
-    the newest order becomes the bookmark; small batches leave backfill."""
-    o, c = table(spark, sf, "orders"), table(spark, sf, "customer")
+    """ST-4 (bulk, including status-only updates) + ST-9: per supplier table,
+    its newest line item becomes the bookmark; small batches leave backfill.
+    Line items are aggregated per supplier first (partial aggregation), then
+    joined to the one-row-per-supplier dimensions."""
+    li, s = table(spark, sf, "lineitem"), table(spark, sf, "supplier")
     n, r = table(spark, sf, "nation"), table(spark, sf, "region")
-    per = (o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+    per_supp = li.groupBy("l_suppkey").agg(F.max("l_shipdate").alias("max_version"),
+                                           F.count(F.lit(1)).alias("batch_rows"))
+    per = (per_supp.join(s, per_supp.l_suppkey == s.s_suppkey).join(n, s.s_nationkey == n.n_nationkey)
            .join(r, n.n_regionkey == r.r_regionkey)
-           .groupBy(F.lower("r_name").alias("schema"), F.lower("n_name").alias("table_name"), "n_nationkey")
-           .agg(F.max("o_orderdate").alias("max_version"), F.count(F.lit(1)).alias("batch_rows")))
-    running = F.col("n_nationkey") % 7 == 0
+           .select(F.lower("r_name").alias("schema"), _supplier_table(F.col("s_suppkey")).alias("table_name"),
+                   "s_suppkey", "max_version", "batch_rows"))
+    running = F.col("s_suppkey") % 7 == 0
     upd = per.select(
         "schema", "table_name", F.when(running, F.lit("running")).otherwise(F.lit("idle")).alias("etl_status"),
         F.when(~running, F.col("max_version")).alias("extracted_time"),
