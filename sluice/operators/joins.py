@@ -16,6 +16,8 @@ from typing import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.session import ensure_checkpoint_dir
+
 SEP = "__"
 _HOWS = {
     "inner", "cross", "outer", "full", "fullouter", "full_outer", "left", "leftouter", "left_outer",
@@ -42,7 +44,11 @@ def _salted(left: DataFrame, right: DataFrame, lkeys, rkeys, how: str, buckets:
     replicated once per salt, all other rows keep salt 0.  Every left row
     meets exactly the right rows it would meet unsalted, so the result is
     the plain join's, for inner / left / semi / anti joins."""
-    hot = hot_keys(left, lkeys, min_rows).withColumn("__hot", F.lit(True))
+    # The hot-key set is used four times (two size checks, two joins); a
+    # reliable checkpoint in the shared folder computes it with one pass
+    # over the left side instead of one pass per use.
+    ensure_checkpoint_dir(left.sparkSession)
+    hot = hot_keys(left, lkeys, min_rows).withColumn("__hot", F.lit(True)).checkpoint(eager=True)
     max_hot = HOT_KEYS_BROADCAST_MAX  # beyond this the hot-key set is joined by shuffle
     hot_l = F.broadcast(hot) if fits_broadcast(hot, max_hot) else hot
     lh = left.join(hot_l, list(lkeys), "left")
