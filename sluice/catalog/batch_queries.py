@@ -99,7 +99,7 @@ def next_start(spark, sf):
     bookmark starts at the epoch."""
     e = table(spark, sf, "events")
     marks = e.groupBy("event_type").agg(F.max("ts").alias("bookmark"))
-    none = marks.limit(1).select(F.lit("none").alias("event_type"), F.lit(None).cast("timestamp_ntz").alias("bookmark"))
+    none = spark.createDataFrame([("none", None)], "event_type string, bookmark timestamp_ntz")  # a table never extracted
     return marks.unionByName(none).select("event_type", B.next_start("bookmark").alias("next_start"))
 
 
