@@ -50,8 +50,8 @@ def registry(spark, sf):
         F.lower("r_name").alias("rschema"), k.alias("k")))
 
 
-def old_state(spark, sf):
-    reg = registry(spark, sf)
+def old_state(spark, sf, reg=None):
+    reg = registry(spark, sf) if reg is None else reg
     k = F.col("k")
     common = [F.lit(None).cast("timestamp_ntz").alias("last_successful_load_time"), F.lit("idle").alias("etl_status")]
     own = reg.where(k % 2 == 0).select(
@@ -65,8 +65,9 @@ def old_state(spark, sf):
     return own.unionByName(archive)
 
 
-def seeded(spark, sf):
-    return S.seed_state(old_state(spark, sf), S.ready_pairs(registry(spark, sf)))
+def seeded(spark, sf, reg=None):
+    reg = registry(spark, sf) if reg is None else reg
+    return S.seed_state(old_state(spark, sf, reg), S.ready_pairs(reg))
 
 
 @query("ready_tables", sql=f"WITH {_REG_SQL},\n{_PAIRS_SQL} SELECT * FROM pairs")
@@ -107,13 +108,15 @@ def _eligible_sql(flag: str) -> str:
 @query("eligible_backfill", sql=_eligible_sql("true"))
 def eligible_backfill(spark, sf):
     """ST-7 / JN-3 in backfill mode."""
-    return S.eligible_tables(S.ready_pairs(registry(spark, sf)), seeded(spark, sf), registry(spark, sf), "backfill")
+    reg = registry(spark, sf)
+    return S.eligible_tables(S.ready_pairs(reg), seeded(spark, sf, reg), reg, "backfill")
 
 
 @query("eligible_incremental", sql=_eligible_sql("false"))
 def eligible_incremental(spark, sf):
     """ST-7 / JN-3 in incremental mode."""
-    return S.eligible_tables(S.ready_pairs(registry(spark, sf)), seeded(spark, sf), registry(spark, sf), "incremental")
+    reg = registry(spark, sf)
+    return S.eligible_tables(S.ready_pairs(reg), seeded(spark, sf, reg), reg, "incremental")
 
 
 _UPD_SQL = """upd AS (
