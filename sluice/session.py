@@ -47,12 +47,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared filesystem folder and
-    is used as is.  Only a session without it (a unit test) gets a fresh
-    folder under the system temp directory.
+    is used as is.  Only a local-mode session without it (a unit test) gets a
+    fresh folder under the system temp directory; a cluster session without
+    it is an error, since a machine-local folder is not visible to the other
+    executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
         current = tempfile.mkdtemp(prefix="sluice-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
