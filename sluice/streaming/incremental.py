@@ -33,10 +33,13 @@ def stream_landing_to_curated(
     resolver: Callable[[str, bool], DataFrame] | None = None,
     custom: Mapping | None = None,
     max_files_per_trigger: int | None = None,
-    snapshot: int = 0,
+    snapshot: int | None = None,
 ):
     """Start (and, with ``availableNow``, finish) the stream; returns the
-    finished ``StreamingQuery``."""
+    finished ``StreamingQuery``.  Each epoch appends to the table's current
+    snapshot (``snapshot`` pins one); epoch ids grow, so they serve as part
+    ids.  A table takes parts from one kind of writer only (stream epochs
+    or batch cutoffs), so that part ids keep growing."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
