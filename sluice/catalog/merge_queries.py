@@ -44,8 +44,8 @@ def merge_replay(spark, sf):
     same_ts = e.where(F.col("event_type").isin("click", "purchase")).withColumn("props", F.lit("v2"))
     older = e.where(F.col("event_type") == "error").withColumn("ts", F.col("ts") - F.expr("INTERVAL 1 DAY"))
     batch = same_ts.unionByName(older)
-    once = M.merge_latest(e, batch, key="event_id", version="ts")
-    return M.merge_latest(once, batch, key="event_id", version="ts")
+    once = M.merge_latest(e, batch, key="event_id", version="ts", current_unique=True)  # event_id is unique
+    return M.merge_latest(once, batch, key="event_id", version="ts", current_unique=True)
 
 
 _NULLED = f"""SELECT event_id, CASE WHEN event_id % 11 = 0 THEN NULL ELSE ts END AS ts, user_id, event_type, value, props
