@@ -47,10 +47,14 @@ def read_landing(
 ) -> DataFrame:
     """SRC-5: a whole landing table, one batch, or one ``key=value``
     partition.  The partition filter prunes directories at planning time and
-    keeps the partition column (the reference's directory read dropped it)."""
-    df = spark.read.parquet(root)
+    keeps the partition column (the reference's directory read dropped it).
+    One batch is read from its own folder (``basePath`` keeps ``batch_id``
+    and the partition columns), so only that batch's files are listed, not
+    every batch ever landed."""
     if batch_id is not None:
-        df = df.where(F.col("batch_id") == F.lit(batch_id))
+        df = spark.read.option("basePath", root).parquet(batch_path(root, batch_id))
+    else:
+        df = spark.read.parquet(root)
     if partition_key is not None:
         df = df.where(F.col(partition_key) == F.lit(partition_value))
     return df
