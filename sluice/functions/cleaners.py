@@ -14,7 +14,7 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sluice.functions.common import as_col, blank_to_null, text
+from sluice.functions.common import as_col, empty_to_null, text
 
 # Fixed values (must equal the reference for identical results).
 # Phone junk patterns: scientific notation, N/A variants, the word null.
@@ -34,6 +34,11 @@ def normalize_phone(c) -> Column:
 
     NULL when the trimmed text is empty, ``0``, looks like scientific notation
     (``e+11``), an N/A marker, the word ``null``, or has no digits.
+
+    Written so each step is computed once per row: the digits string is
+    rewritten by two anchored replacements (``^62`` -> ``0``; then ``^8`` ->
+    ``08``, which can only match when the number did not start with 62), and
+    since it holds only digits, "all digits" is "not empty" (``nullif``).
     """
     s = text(c)
     junk = (
@@ -45,12 +50,8 @@ def normalize_phone(c) -> Column:
         | s.rlike(PHONE_NULL_PATTERN)
     )
     digits = F.regexp_replace(s, "[^0-9]", "")
-    lead = (
-        F.when(digits.startswith("62"), F.regexp_replace(digits, "^62", "0"))
-        .when(digits.startswith("8"), F.concat(F.lit("0"), digits))
-        .otherwise(digits)
-    )
-    return F.when(junk, F.lit(None).cast("string")).when(lead.rlike("^[0-9]+$"), lead)
+    lead = F.regexp_replace(F.regexp_replace(digits, "^62", "0"), "^8", "08")
+    return F.when(junk, F.lit(None).cast("string")).otherwise(empty_to_null(lead))
 
 
 # Indonesian numbering plan approximation used for validity
@@ -79,8 +80,9 @@ def phone_status(valid, normalized_valid) -> Column:
 
 
 def address_part(c) -> Column:
-    """CL-4, first stage: trim + initcap, blank -> NULL."""
-    return blank_to_null(F.initcap(F.trim(as_col(c))))
+    """CL-4, first stage: trim + initcap, blank -> NULL (the value is
+    trimmed, so blank is empty)."""
+    return empty_to_null(F.initcap(F.trim(as_col(c))))
 
 
 def drop_repeats(cols: Sequence) -> list[Column]:
@@ -115,19 +117,20 @@ def clean_name(c) -> Column:
     whitespace; collapse whitespace; trim; initcap; blank -> NULL."""
     s = F.regexp_replace(as_col(c), NAME_DROP_PATTERN, "")
     s = F.trim(F.regexp_replace(s, r"\s+", " "))
-    return blank_to_null(F.initcap(s))
+    return empty_to_null(F.initcap(s))  # trimmed, so blank is empty
 
 
 def clean_nik(c) -> Column:
-    """CL-6: digits only; exactly 16 digits else NULL."""
+    """CL-6: digits only; exactly 16 digits else NULL (the digit string is
+    matched whole, so it is computed once)."""
     s = F.regexp_replace(F.regexp_replace(F.trim(as_col(c)), r"\s+", ""), r"\D", "")
-    return F.when(F.length(s) == 16, s)
+    return empty_to_null(F.regexp_extract(s, r"^[0-9]{16}$", 0))
 
 
 def clean_postal_code(c) -> Column:
     """CL-7: whitespace removed; exactly five digits else NULL."""
     s = F.regexp_replace(text(c), r"\s+", "")
-    return F.when(s.rlike(r"^\d{5}$"), s)
+    return empty_to_null(F.regexp_extract(s, r"^\d{5}$", 0))
 
 
 def clean_coordinates(lat, lon) -> tuple[Column, Column]:
@@ -170,7 +173,7 @@ def clean_location(c, blank_to_null_: bool = False) -> Column:
     initcap.  An all-dropped value stays ``''`` (the reference code does not
     null it); pass ``blank_to_null_=True`` for the documented behaviour."""
     s = F.initcap(F.trim(F.regexp_replace(as_col(c), LOCATION_DROP_PATTERN, "")))
-    return blank_to_null(s) if blank_to_null_ else s
+    return empty_to_null(s) if blank_to_null_ else s  # trimmed, so blank is empty
 
 
 # Product-code markers of the product recipe.

@@ -21,6 +21,15 @@ def blank_to_null(c) -> Column:
     return F.when(F.length(F.trim(c)) > 0, c)
 
 
+def empty_to_null(c) -> Column:
+    """NULL when the value is the empty string.  For values that are already
+    trimmed this equals ``blank_to_null`` but evaluates ``c`` once
+    (``nullif``), whereas ``when(pred(c), c)`` computes an expensive ``c``
+    twice per row: subexpression elimination does not share a value branch
+    with its condition."""
+    return F.nullif(as_col(c), F.lit(""))
+
+
 def ts_literal(value: str, dtype: str = "timestamp_ntz") -> Column:
     """A typed timestamp literal (folded by Catalyst, so it reaches scans)."""
     kw = "TIMESTAMP_NTZ" if dtype == "timestamp_ntz" else "TIMESTAMP"
