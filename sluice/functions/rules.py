@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType, StringType
 
-from sluice.functions.common import as_col
+from sluice.functions.common import as_col, empty_to_null
 
 
 def one_to_zero(c) -> Column:
@@ -47,9 +47,8 @@ def zero_to_null(c, dtype: DataType | None = None) -> Column:
 
 
 def trim_blank_to_null(c) -> Column:
-    """TR-6 (per string column): trimmed value, '' -> NULL."""
-    t = F.trim(as_col(c))
-    return F.when(t == "", F.lit(None).cast("string")).otherwise(t)
+    """TR-6 (per string column): trimmed value, '' -> NULL (trimmed once)."""
+    return empty_to_null(F.trim(as_col(c)))
 
 
 def round_decimal(c, scale: int, precision: int = 10) -> Column:
