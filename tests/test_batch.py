@@ -78,3 +78,16 @@ def test_next_start(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 0, 0, 123456),), (None,)], "b timestamp_ntz")
     out = [r[0] for r in df.select(B.next_start("b")).collect()]
     assert out == [dt.datetime(2024, 1, 1, 0, 0, 0, 124000), dt.datetime(1970, 1, 1)]
+
+
+def test_date_version_column(spark):
+    """A DATE version column: the cutoff and window match ORDER BY ... LIMIT
+    (ties on a day all included), and the window filter keeps the date type."""
+    o = spark.read.parquet(f"{SF_MID}/orders.parquet").select("o_orderkey", F.to_date("o_orderdate").alias("d"))
+    start = dt.date(1996, 1, 1)
+    for cap in (1, 1003, 5000):
+        w = B.resolve_window(o, "d", start, cap)
+        days = [r[0] for r in o.where(F.col("d") > F.lit(start)).orderBy("d").select("d").limit(cap).collect()]
+        assert us_to_dt(w.cutoff_us).date() == max(days)
+        assert w.rows == w.apply(o).count() == o.where((F.col("d") > F.lit(start)) & (F.col("d") <= F.lit(max(days)))).count()
+        assert dict(w.apply(o).dtypes)["d"] == "date"
