@@ -1,4 +1,4 @@
-"""Smaller public helpers: backfill completion updates (ST-9), the reliable
+"""Smaller public helpers: backfill completion (ST-9) and watermark (ST-8) updates, the reliable
 lineage cut, key clustering, and the cutoff on a session-zone timestamp."""
 
 import datetime as dt
@@ -21,6 +21,17 @@ def test_completion_updates_clear_backfill_only_for_small_batches(spark):
     assert out == {"a": (False, None), "b": (True, None)}
 
 
+def test_watermark_updates_move_bookmark_only_when_batch_has_a_max(spark):
+    pairs = spark.createDataFrame([("s", "a"), ("s", "b")], "schema string, table_name string")
+    state = S.seed_state(S.empty_state(spark), pairs)
+    maxima = spark.createDataFrame([("s", "a", dt.datetime(2024, 3, 1, 12)), ("s", "b", None)],
+                                   "schema string, table_name string, max_version timestamp_ntz")
+    loaded = "2024-03-02 00:00:00"
+    out = {r["table_name"]: (r["last_extracted_time"], r["last_successful_load_time"])
+           for r in S.update_state(state, S.watermark_updates(maxima, loaded)).collect()}
+    assert out == {"a": (dt.datetime(2024, 3, 1, 12), dt.datetime(2024, 3, 2)), "b": (None, dt.datetime(2024, 3, 2))}
+
+
 def test_lineage_cut_is_a_reliable_checkpoint(spark):
     e = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     deep = e
