@@ -29,3 +29,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
     return pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+@query
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import matches
+
+    return matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
