@@ -87,40 +87,43 @@ class Index:
         return [(int(d), int(i), int(b) * int(self.budget[i] + 1) - (1 << 20)) for d, i, b in rows[:, keep].T]
 
 
+_COST = np.int64(1) << np.int64(40)  # a cell holds edits * 2**40 + start + 2**30
+
+
 def align(item: bytes, region: bytes, budget: int, base: int, width: int) -> tuple[int, int, int] | None:
     """Fewest edits that turn ``item`` into a substring of ``region``, within the budget.
 
     Diagonals (region offset minus item offset) base - budget .. base + width + budget
-    are looked at.  Returns (edits, start, end) in the region, the leftmost end on ties.
+    are looked at.  The region is padded with letters that equal none: pairing one
+    costs as much as leaving the item's letter out.  Returns (edits, start, end)
+    in the region, the smallest start and then the smallest end on ties.
     """
     m, n = len(item), len(region)
     lo, hi = base - budget, base + width + budget
-    band = np.arange(lo, hi + 1)
-    x, y = np.frombuffer(item, np.uint8), np.frombuffer(region, np.uint8)
-    far = m + n + 1
-    cost = np.where((band >= 0) & (band <= n), 0, far)
-    start = band.copy()
-    step = np.arange(len(band))
-    for i in range(1, m + 1):
-        j = i + band
-        ok = (j >= 0) & (j <= n)
-        take = (j >= 1) & (j <= n)
-        same = np.zeros(len(band), bool)
-        same[take] = y[j[take] - 1] == x[i - 1]
-        diag = np.where(take, cost + ~same, far)
-        up = np.append(cost[1:], far) + 1  # item letter left out: one diagonal to the left
-        up_start = np.append(start[1:], 0)
-        best = np.where(diag <= up, diag, up)
-        from_ = np.where(diag <= up, start, up_start)
-        best = np.where(ok, best, far)
-        run = np.minimum.accumulate((best - step) * (len(band) + 1) + step)  # region letters inserted
-        at = run % (len(band) + 1)
-        total = best[at] + step - at
-        cost, start = np.where(ok, np.minimum(total, far), far), from_[at]
-        if cost.min() > budget:
+    band = np.arange(lo, hi + 1, dtype=np.int64)
+    w = len(band)
+    letters = np.full(m + w, -1, np.int16)
+    a, b = max(0, lo), min(n, lo + m + w)
+    if a < b:
+        letters[a - lo:b - lo] = np.frombuffer(region, np.uint8)[a:b]
+    differs = letters[None, :] != np.arange(256, dtype=np.int16)[np.unique(np.frombuffer(item, np.uint8))][:, None]
+    row_of = {c: differs[i].astype(np.int64) * _COST for i, c in enumerate(sorted(set(item)))}
+    cell = band + (np.int64(1) << np.int64(30))
+    right = np.arange(w, dtype=np.int64) * _COST
+    up = np.full(w, (m + n + 2) * int(_COST), np.int64)
+    stop = (budget + 1) * int(_COST)
+    for i, c in enumerate(item):
+        np.add(cell[1:], _COST, out=up[:-1])  # item letter left out
+        cell = np.minimum(cell + row_of[c][i:i + w], up)
+        cell = np.minimum.accumulate(cell - right) + right  # region letters inserted
+        if i % 16 == 15 and cell.min() >= stop:
             return None
-    at = int(cost.argmin())
-    return (int(cost[at]), int(start[at]), int(m + band[at])) if cost[at] <= budget else None
+    at = int(cell.argmin())
+    edits, start = divmod(int(cell[at]), int(_COST))
+    if edits > budget:
+        return None
+    start = min(max(0, start - (1 << 30)), n)
+    return edits, start, max(start, min(n, m + int(band[at])))
 
 
 def find(index: Index, bodies: list[bytes]) -> list[tuple[int, int, int, int, int, int]]:
@@ -131,12 +134,16 @@ def find(index: Index, bodies: list[bytes]) -> list[tuple[int, int, int, int, in
     data = np.frombuffer(b"\0".join(bodies), np.uint8)
     for doc, n, low in index.candidates(data, begin):
         item, k = index.items[n][1], int(index.budget[n])
+        best = out.get((doc, n))
+        if best and best[0] == 0:
+            continue
         a = max(0, low - k)
         b = min(int(sizes[doc]), low + 2 * k + 2 + len(item) + k)
-        hit = align(item, bodies[doc][a:b], k, low - a, 2 * k + 1)
+        at = bodies[doc].find(item, a, b)  # on one diagonal, without an edit
+        hit = (0, at - a, at - a + len(item)) if at >= 0 else align(item, bodies[doc][a:b], k, low - a, 2 * k + 1)
         if hit:
             found = (hit[0], a + hit[1], a + hit[2])
-            out[doc, n] = min(out.get((doc, n), found), found)
+            out[doc, n] = min(best or found, found)
     for n, _, item in index.short:  # shorter than a q-gram: the lemma says nothing, no edits are allowed
         for doc, body in enumerate(bodies):
             if (at := body.find(item)) >= 0:

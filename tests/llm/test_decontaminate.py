@@ -40,7 +40,7 @@ def cases():
     word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(2, 7)))
     items = [(i, " ".join(word() for _ in range(rng.randint(12, 40)))) for i in range(12)] + [(50, "tiny bit"), (51, ""), (52, None)]
     docs = []
-    for d in range(80):
+    for d in range(36):
         body = " ".join(word() for _ in range(rng.randint(0, 120)))
         if d % 2:
             i, t = items[d % 12]
@@ -59,7 +59,7 @@ def test_matches_equal_brute_force(spark, documents):
             item, body = D.normal(x), D.normal(t)
             if item and (e := 0 if item in body else brute(item, body) if len(body) < 5000 else 99) <= D.edit_budget(len(item)):
                 want.append((str(d), i, e))
-    assert got == sorted(want) and len(want) > 30
+    assert got == sorted(want) and len(want) > 10
 
 
 def test_blocks_of_the_query_set_do_not_change_the_result(spark, documents):
