@@ -36,3 +36,19 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     from .decontaminate import matches
 
     return matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality
+
+    docs = table(spark, sf_dir, "documents")
+    return quality.scored(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op6_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
