@@ -52,3 +52,10 @@ def op6_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import groups
+
+    return groups(table(spark, sf_dir, "documents"), words=3, t=90)
