@@ -2,12 +2,14 @@
 
 The global order of n-grams is that of their hashes; it is cut into fragments.
 Two sets of a similarity of t differ in at most D n-grams, D following from
-their sizes, so of F > D fragments at least F - D are the same in both: equal
-fragments give the candidates.  For the candidates the overlap is counted
-fragment by fragment, in separate rows, and summed per pair.
+their sizes, so of F > D fragments at least F - D are the same in both.  A coarse cut
+(F little above D) finds the sets that share enough fragments with any other;
+only these are cut again finely (F = 4 D), and two linked ones must share a
+fragment among the D + 1 rarest of each and have parity maps at most D apart.  For these candidates the overlap is
+counted fragment by fragment, in separate rows, and summed per pair.
 
 Copies (equal sets) are one node.  Within a group that shares a fragment not
-all pairs are made: members are first compared with one of them, then only
+all pairs are made: members are first compared with the one that has most in common with the rest, then only
 members of different components with ever more of them, until the group is
 one component or all its remaining pairs have been compared.  So no link that
 joins components is lost, and a large group of near copies costs about as
@@ -20,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_batches, mix, passes, span_hashes, stored, texts
@@ -30,6 +32,9 @@ from .graph import components
 LEVELS = ((1, 1), (2048, 16), (32768, 256))
 #: Members of a group that all are compared with one another as soon as one hub does not join them.
 SMALL_GROUP = 16
+#: 64-bit words of the parity map of a set: two maps differ in at most as many bits as the sets in n-grams.
+MAP_WORDS = 8
+_MAP = [f"m{i}" for i in range(MAP_WORDS)]
 _RATIO = 1.5
 
 
@@ -48,9 +53,9 @@ def differing(size_class: np.ndarray, t: int) -> np.ndarray:
     return (100 - t) * 2 * (_BOUNDS[size_class + 1] - 1) // (100 + t)
 
 
-def fragments(size_class: np.ndarray, t: int) -> np.ndarray:
+def fragments(size_class: np.ndarray, t: int, fine: bool = False) -> np.ndarray:
     d = differing(size_class, t)
-    return d + 1 + (d + 3) // 4
+    return 4 * d + 1 if fine else d + 1 + (d + 3) // 4
 
 
 def gram_sets(bodies: list[str | None], words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -92,45 +97,41 @@ def gram_sets(bodies: list[str | None], words: int) -> tuple[np.ndarray, np.ndar
     return o[fresh], g[fresh]
 
 
-def fragment_keys(doc: np.ndarray, gram: np.ndarray, size: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray]:
-    """(document, key) of every fragment under which a set is looked up.
+def fragment_keys(doc: np.ndarray, gram: np.ndarray, size: np.ndarray, t: int, fine: bool = False):
+    """Look-up keys of the sets: a list of (document, size class, cut, key, fragments needed in common).
 
     A set is entered under its own size class and, if it can be linked to larger
-    sets of the next one, under that too.  If too many of its fragments are empty,
-    equal fragments might all be empty ones; then another order (another hash) is
-    used beside the first.  Both sets of a linked pair that needs it do so.
+    sets of the next one, under that too.  If so many of its fragments are empty
+    that the equal ones might all be empty, another order (another hash) is used
+    beside the first.  Both sets of a linked pair that needs it do so.
     """
     own = np.searchsorted(_BOUNDS, size, side="right") - 1
     beyond = np.searchsorted(_BOUNDS, size * 100 // t, side="right") - 1
-    docs, keys = [], []
+    out = []
     for step in (0, 1):
-        todo = (size > 0) & (own + step <= beyond)
         kind = own + step
-        todo &= differing(kind, t) > 0
+        most = differing(np.maximum(kind, 0), t)
+        total = fragments(np.maximum(kind, 0), t, fine)
+        todo = (size > 0) & (kind <= beyond) & (most > 0)
         scheme = 0
         while todo.any():
             pick = todo[doc]
             d = doc[pick]
             g = gram[pick] if scheme == 0 else mix(gram[pick] ^ np.uint64(0xA0761D6478BD642F * scheme & (2**64 - 1)))
-            total = fragments(kind, t)
             part = ((g >> np.uint64(33)) * total[d].astype(np.uint64) >> np.uint64(31)).astype(np.int64)
             if scheme:
                 order = np.lexsort((part, d))
                 d, g, part = d[order], g[order], part[order]
             head = np.flatnonzero(np.concatenate(([True], (d[1:] != d[:-1]) | (part[1:] != part[:-1]))))
             with np.errstate(over="ignore"):
-                body = np.add.reduceat(mix(g + np.uint64(0x51ED270B)), head) if len(head) else np.empty(0, np.uint64)
+                body = np.add.reduceat(mix(g + np.uint64(0x51ED270B)), head)
                 place = (kind[d[head]].astype(np.uint64) << np.uint64(48)) + (np.uint64(scheme) << np.uint64(40)) + part[head].astype(np.uint64)
-                keys.append(mix(body + mix(place + np.uint64(1))))
-            docs.append(d[head])
+                key = mix(body + mix(place + np.uint64(1 + fine)))
             filled = np.bincount(d[head], minlength=len(size))
-            todo &= total - filled >= total - differing(kind, t)
+            out.append((d[head], kind, np.full(len(size), scheme), key, np.maximum(1, filled - most)))
+            todo = todo & (filled <= most)
             scheme += 1
-    if not docs:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    d, k = np.concatenate(docs), np.concatenate(keys)
-    order = np.argsort(d, kind="stable")
-    return d[order], k[order]
+    return out
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -153,18 +154,54 @@ def set_nodes(doc: np.ndarray, gram: np.ndarray, n: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def parity_maps(doc: np.ndarray, gram: np.ndarray, n: int) -> np.ndarray:
+    """Bit i of a set's map tells whether it has an odd number of n-grams that fall on i."""
+    bits = 64 * MAP_WORDS
+    out = np.zeros((n, bits), np.uint8)
+    cell, count = np.unique(doc * bits + (gram >> np.uint64(20)).astype(np.int64) % bits, return_counts=True)
+    out.flat[cell] = count & 1
+    return np.packbits(out, axis=1).view(">i8").astype(np.int64)
+
+
 def sketch(docs: DataFrame, words: int, t: int) -> DataFrame:
-    """(doc_id, row, n, node, keys) per document row."""
+    """(doc_id, row, n, node, need, keys) per document row; ``need`` keys at least are in another set if it is linked."""
     def run(batch):
         ids, rows, bodies = batch.column("doc_id"), batch.column("row"), batch.column("text").to_pylist()
         for a, b in passes(bodies):
             doc, gram = gram_sets(bodies[a:b], words)
             size = np.bincount(doc, minlength=b - a)
-            owner, key = fragment_keys(doc, gram, size, t)
-            yield {"doc_id": ids[a:b], "row": rows[a:b], "n": pa.array(size.astype(np.int64)),
-                   "node": pa.array(set_nodes(doc, gram, b - a)), "keys": _lists(owner, key, b - a)}
+            found = fragment_keys(doc, gram, size, t)
+            owner = np.concatenate([f[0] for f in found]) if found else np.empty(0, np.int64)
+            key = np.concatenate([f[3] for f in found]) if found else np.empty(0, np.uint64)
+            need = np.full(b - a, 1 << 40)
+            for f in found:
+                has = np.unique(f[0])
+                need[has] = np.minimum(need[has], f[4][has])
+            order = np.argsort(owner, kind="stable")
+            yield {"doc_id": ids[a:b], "row": rows[a:b], "n": pa.array(size.astype(np.int64)), "node": pa.array(set_nodes(doc, gram, b - a)),
+                   "need": pa.array(need), "keys": _lists(owner[order], key[order], b - a)}
+
+    return map_batches(_rows(docs), run, "doc_id long, row long, n long, node long, need long, keys array<long>")
+
+
+def fine_keys(bodies: DataFrame, words: int, t: int) -> DataFrame:
+    """(node, n, cut, deep, total, keys, parity map): a row per set, size class and order; the ``deep`` rarest keys decide."""
+    def run(batch):
+        bodies = batch.column("text").to_pylist()
+        for a, b in passes(bodies):
+            doc, gram = gram_sets(bodies[a:b], words)
+            size, node, maps = np.bincount(doc, minlength=b - a), set_nodes(doc, gram, b - a), parity_maps(doc, gram, b - a)
+            for owner, kind, scheme, key, _ in fragment_keys(doc, gram, size, t, fine=True):
+                has, count = np.unique(owner, return_counts=True)
+                at = np.concatenate(([0], np.cumsum(count))).astype(np.int32)
+                yield {"node": pa.array(node[has]), "n": pa.array(size[has].astype(np.int64)),
+                       "cut": pa.array((kind[has] * 256 + scheme[has]).astype(np.int32)),
+                       "deep": pa.array(differing(kind[has], t) + 1), "total": pa.array(count.astype(np.int64)),
+                       "keys": pa.ListArray.from_arrays(pa.array(at), pa.array(key.view(np.int64))),
+                       **{c: pa.array(maps[has, i]) for i, c in enumerate(_MAP)}}
 
-    return map_batches(_rows(docs), run, "doc_id long, row long, n long, node long, keys array<long>")
+    return map_batches(bodies, run, "node long, n long, cut int, deep long, total long, keys array<long>, "
+                       + ", ".join(f"{c} long" for c in _MAP))
 
 
 def _level(n):
@@ -174,8 +211,8 @@ def _level(n):
     return out
 
 
-def set_fragments(docs: DataFrame, rows: DataFrame, words: int, t: int) -> DataFrame:
-    """(node, level, fragment, grams) of the nodes in ``rows(row, node)``, a row per fragment."""
+def set_fragments(bodies: DataFrame, words: int, t: int) -> DataFrame:
+    """(node, level, fragment, grams) of each text's set, a row per fragment."""
     def run(batch):
         bodies = batch.column("text").to_pylist()
         for a, b in passes(bodies):
@@ -193,9 +230,7 @@ def set_fragments(docs: DataFrame, rows: DataFrame, words: int, t: int) -> DataF
                        "fragment": pa.array(part[head].astype(np.int32)),
                        "grams": pa.ListArray.from_arrays(pa.array(at), pa.array(g.view(np.int64)))}
 
-    needed = _rows(docs).join(rows.select("row").distinct(), "row", "left_semi")
-    out = map_batches(needed.select("text"), run, "node long, level int, fragment int, grams array<long>")
-    return out.join(rows.select("node").distinct(), "node", "left_semi").dropDuplicates(["node", "level", "fragment"])
+    return map_batches(bodies, run, "node long, level int, fragment int, grams array<long>")
 
 
 def overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
@@ -214,8 +249,10 @@ def _linked(pairs: DataFrame, parts: DataFrame, t: int) -> DataFrame:
 
 def _pairs(members: DataFrame, hubs: DataFrame, t: int, extra=None) -> DataFrame:
     """Distinct (u < v) of a hub and a member of one group, of sizes that allow a link."""
+    apart = " + ".join(f"bit_count({c} ^ hub_{c})" for c in _MAP)  # no more than the n-grams in which they differ
     m = members.join(hubs, "key").where("node <> hub")
     m = m.where(F.expr(f"100 * least(n, hub_n) >= {t} * greatest(n, hub_n)"))
+    m = m.where(F.expr(f"{100 + t} * ({apart}) <= {100 - t} * (n + hub_n)"))
     if extra is not None:
         m = m.where(extra)
     first = F.col("node") < F.col("hub")
@@ -232,21 +269,33 @@ def groups(docs: DataFrame, words: int = 3, t: int = 90) -> DataFrame:
     has one.  Component ids are the smallest id reachable by links.
     """
     s = stored(sketch(docs, words, t), "sketch")
-    entries = s.select("node", "n", "row", F.explode("keys").alias("key"))
-    shared = (entries.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-              .where("lo <> hi").select("key"))
-    members = stored(entries.join(shared, "key").groupBy("key", "node").agg(F.first("n").alias("n"), F.min("row").alias("row")), "members")
-    nodes = s.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("low"))
-    parts = stored(set_fragments(docs, members.groupBy("node").agg(F.min("row").alias("row")), words, t), "parts")
-    members = members.drop("row")
-
-    hubs = members.groupBy("key").agg(F.min(F.struct(F.col("node").alias("hub"), F.col("n").alias("hub_n"))).alias("h")).select("key", "h.*")
+    entries = s.select("node", F.explode("keys").alias("key"))
+    shared = entries.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("key")
+    common = entries.join(shared, "key").select("key", "node").distinct().groupBy("node").agg(F.count(F.lit(1)).alias("common"))
+    nodes = s.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("low"), F.min("row").alias("row"), F.min("need").alias("need"))
+    near = nodes.join(common, "node").where("common >= need").select("row", "node")
+    # one text per set; rows may share an id, so the sets are told apart again by their hash
+    bodies = stored(_rows(docs).join(near.select("row").distinct(), "row", "left_semi").select("text").distinct(), "bodies")
+    parts = stored(set_fragments(bodies, words, t).dropDuplicates(["node", "level", "fragment"]), "parts")
+
+    fine = fine_keys(bodies, words, t).dropDuplicates(["node", "cut"])
+    fine = stored(fine, "fine").select("node", "n", "cut", "deep", "total", *_MAP, F.explode("keys").alias("key"))
+    often = fine.groupBy("key").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    of_set = Window.partitionBy("node", "cut")
+    ranked = (fine.join(often, "key").withColumns({
+        "rank": F.row_number().over(of_set.orderBy("often", "key")), "found": F.count(F.lit(1)).over(of_set),
+        "score": F.sum("often").over(of_set)}))
+    # keys that no other set has come first in the order: they are total - found
+    members = stored(ranked.where("rank + total - found <= deep").select("key", "node", "n", "score", *_MAP), "members")
+
+    top = F.max(F.struct("score", F.col("node").alias("hub"), F.col("n").alias("hub_n"), *[F.col(c).alias(f"hub_{c}") for c in _MAP]))
+    hubs = members.groupBy("key").agg(top.alias("h")).select("key", "h.hub", "h.hub_n", *[f"h.hub_{c}" for c in _MAP])
     tested = stored(_pairs(members, hubs, t), "pairs")
     links = stored(_linked(tested, parts, t), "links")
     wide = SMALL_GROUP
     while True:
         roots = components(links)
-        now = (members.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root")))
+        now = (members.join(roots, "node", "left").select("key", "node", "n", *_MAP, F.coalesce("root", "node").alias("root")))
         open_ = now.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi").select("key", "size")
         open_ = stored(now.join(open_, "key"), "open")
         if open_.isEmpty():
@@ -254,7 +303,7 @@ def groups(docs: DataFrame, words: int = 3, t: int = 90) -> DataFrame:
         # a member is a hub if its hash falls in the share wide / size of all hashes
         chance = (F.xxhash64("node", F.lit("hub")).cast("double") + 2.0**63) / 2.0**64 * F.col("size")
         hubs = open_.where((F.col("size") <= wide) | (chance < wide)).select(
-            "key", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("root").alias("hub_root"))
+            "key", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("root").alias("hub_root"), *[F.col(c).alias(f"hub_{c}") for c in _MAP])
         new = _pairs(open_, hubs, t, F.col("root") != F.col("hub_root")).join(tested.select("u", "v"), ["u", "v"], "left_anti")
         new = stored(new, "pairs")
         tested = tested.unionAll(new.select(tested.columns))
@@ -263,7 +312,7 @@ def groups(docs: DataFrame, words: int = 3, t: int = 90) -> DataFrame:
         if wide >= most:  # every pair of different components that share a fragment has been compared
             roots = components(links)
             break
-        wide *= 8
+        wide *= 64
     named = nodes.join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
     lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
     named = named.join(lowest, "root").select("node", "component_id")
