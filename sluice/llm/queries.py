@@ -59,3 +59,10 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard import groups
 
     return groups(table(spark, sf_dir, "documents"), words=3, t=90)
+
+
+@query
+def op8_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import report
+
+    return report(table(spark, sf_dir, "documents"))
