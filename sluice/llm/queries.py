@@ -66,3 +66,10 @@ def op8_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import report
 
     return report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fingerprint import fingerprints
+
+    return fingerprints(table(spark, sf_dir, "documents"))
