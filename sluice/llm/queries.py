@@ -73,3 +73,10 @@ def op9_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .fingerprint import fingerprints
 
     return fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .tokencount import recount, with_edits
+
+    return recount(with_edits(table(spark, sf_dir, "documents")), "edits", tokenizer("byte_bpe_50k.json"))
