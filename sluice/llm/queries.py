@@ -80,3 +80,10 @@ def op7_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .tokencount import recount, with_edits
 
     return recount(with_edits(table(spark, sf_dir, "documents")), "edits", tokenizer("byte_bpe_50k.json"))
+
+
+@query
+def op1_license_patience(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan
+
+    return scan(table(spark, sf_dir, "documents"))
