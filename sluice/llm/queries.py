@@ -87,3 +87,10 @@ def op1_license_patience(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .licenses import scan
 
     return scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_bwt_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repeats import without_repeats
+
+    return without_repeats(table(spark, sf_dir, "documents")).drop("spans")
