@@ -100,23 +100,36 @@ class Transform:
         self.back = place[before[self.order]]  # last-to-first: where the suffix that is one letter longer stands
 
 
-def merge(shards: list[Transform], rounds: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+def merge(shards: list[Transform], start: np.ndarray | None = None, rounds: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
     """(interleave, block) of the shards' suffixes after refining by ``rounds`` letters.
 
     The interleave lists positions in the shards' transforms laid end to end;
-    suffixes in one block share their first ``rounds`` letters.
+    suffixes in one block share their first ``rounds`` letters.  With ``start``,
+    ascending positions to begin with, only the suffixes that these lead to are
+    followed, and one that is alone in its block is let go: whatever letters
+    come before it, it stays alone.
     """
     size = np.array([len(s.order) for s in shards])
     base = np.cumsum(size) - size
     letter = np.concatenate([s.letter for s in shards])
-    back = np.concatenate([s.back + b for s, b in zip(shards, base)])
-    order, block = np.arange(len(letter)), np.zeros(len(letter), np.int64)
-    for _ in range(rounds):
+    used = np.flatnonzero(np.bincount(letter, minlength=257))
+    code = np.zeros(257, np.uint8 if len(used) <= 256 else np.uint16)
+    code[used] = np.arange(len(used))
+    letter = code[letter]
+    back = np.concatenate([s.back + b for s, b in zip(shards, base)]).astype(np.int32)
+    order = np.arange(len(letter), dtype=np.int32) if start is None else start.astype(np.int32)
+    block = np.zeros(len(order), np.int32)
+    for i in range(rounds):
+        if not len(order):
+            break
         own = letter[order]
         move = np.argsort(own, kind="stable")
-        own, block = own[move], block[move]
-        order = back[order[move]]
-        block = np.concatenate(([0], np.cumsum((own[1:] != own[:-1]) | (block[1:] != block[:-1]))))
+        own, block, order = own[move], block[move], back[order[move]]
+        fresh = np.concatenate(([True], (own[1:] != own[:-1]) | (block[1:] != block[:-1])))
+        if start is not None and i % 4 == 3:
+            keep = ~(fresh & np.append(fresh[1:], True))
+            order, fresh = order[keep], fresh[keep]
+        block = np.cumsum(fresh, dtype=np.int32)
     return order, block
 
 
@@ -129,17 +142,18 @@ def repeated(strings: list[bytes], times: np.ndarray) -> list[np.ndarray]:
             shards.append(Transform(strings[cut[-1]:i + 1]))
             cut.append(i + 1)
             size = 0
-    order, block = merge(shards)
-    # place in the concatenated strings of each transform position
     length = np.array([len(s.order) for s in shards])
-    text_at = np.concatenate([s.order + b for s, b in zip(shards, np.cumsum(length) - length)])[order]
+    text_at = np.concatenate([s.order + b for s, b in zip(shards, np.cumsum(length) - length)])
     sizes = np.fromiter(map(len, strings), np.int64, len(strings)) + 1
     begin = np.cumsum(sizes) - sizes
     owner = np.repeat(np.arange(len(strings)), sizes)
-    weight = np.where(np.arange(len(owner)) - begin[owner] <= sizes[owner] - 1 - LENGTH, times[owner], 0)
-    total = np.bincount(block, weights=weight[text_at])
-    hit = np.zeros(len(owner), bool)
-    hit[text_at] = total[block] > 1
+    # LENGTH rounds lead from the place behind each substring to where it starts
+    behind = np.arange(len(owner)) - begin[owner] >= LENGTH
+    order, block = merge(shards, np.flatnonzero(behind[text_at]))
+    hit = times[owner] > 1
+    if len(order):
+        at = text_at[order]
+        hit[at] = np.bincount(block, weights=times[owner[at]])[block] > 1
     return [hit[b:b + max(0, n - LENGTH)] for b, n in zip(begin, sizes)]
 
 
@@ -163,7 +177,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
     def run(batch):
         rows, raw = batch.column("row").to_pylist(), [_bytes(t) for t in batch.column("text").to_pylist()]
         units = list(_units(raw))
-        for a, b in passes([u[2] for u in units]):
+        for a, b in passes([u[2] for u in units], most=1 << 20):
             who, first, last, anchor, frag = anchors([u[2] for u in units[a:b]])
             unit = units[a:b]
             shift = np.array([u[1] for u in unit], np.int64)[who] if len(who) else np.empty(0, np.int64)

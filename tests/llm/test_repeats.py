@@ -67,7 +67,7 @@ def test_merged_interleave_is_the_sorted_order():
     rng = random.Random(5)
     strings = [bytes(rng.choices(b"ab\0c", k=rng.randint(1, 40))) for _ in range(60)]
     shards = [R.Transform(strings[i:i + 7]) for i in range(0, 60, 7)]
-    order, block = R.merge(shards, 12)
+    order, block = R.merge(shards, rounds=12)
     size = np.array([len(s.order) for s in shards])
     at = np.concatenate([s.order + b for s, b in zip(shards, np.cumsum(size) - size)])[order]
     flat = [x + 1 for s in strings for x in [*s, -1]]
