@@ -30,8 +30,8 @@ from .common import gram_hashes, map_batches, passes, span_hashes, stored, texts
 
 LENGTH = 200
 GRAM = 64
-#: Different fragments of an anchor that are merged in one task.
-MOST = 512
+#: Different fragments of an anchor that are merged in one task: at most 4096 * 336 bytes.
+MOST = 4096
 #: Bytes whose transform a shard holds, and bytes merged at a time.
 SHARD, MERGE = 32 << 10, 256 << 10
 #: A text is looked at in units of this many bytes, which overlap by LENGTH - 1.
