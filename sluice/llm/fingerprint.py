@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import mix, span_hashes, stored, texts
 
 HASHES = 3
-#: Cells of the published sketch, and the factor by which it grows on failure.
+#: Cells of the published sketch; on failure the next is large enough for all digests, then grows by the factor.
 CELLS, GROWTH = 24, 4
 #: A line is cut after a word whose hash is a multiple of this.
 WORDS = 8
@@ -47,24 +47,33 @@ def digests(text: str) -> np.ndarray:
         return np.unique(mix(own + (np.arange(len(own)) - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
 
 
-def _places(own: np.ndarray, cells: int) -> np.ndarray:
-    """One place in each third of the table per digest."""
-    third = np.uint64(cells // HASHES)
+def _hashes(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash that gives a digest's three places, and its check value."""
     with np.errstate(over="ignore"):
-        return np.stack([mix(own ^ np.uint64(0xC2B2AE3D27D4EB4F * (i + 1) & (2**64 - 1))) % third + np.uint64(i) * third
-                         for i in range(HASHES)]).astype(np.int64)
+        h = mix(own ^ np.uint64(0xC2B2AE3D27D4EB4F))
+        return h, (mix(h + np.uint64(0xA24BAED4963EE407)) >> np.uint64(32)).astype(np.uint32)
 
 
-def _check(own: np.ndarray) -> np.ndarray:
-    return (mix(own ^ np.uint64(0xA24BAED4963EE407)) >> np.uint64(32)).astype(np.uint32)
+def _places(h: np.ndarray, cells: int) -> np.ndarray:
+    """One place in each third of the table per digest, from 21 bits of its hash each."""
+    third = cells // HASHES
+    bits = h[None, :] >> np.array([[0], [21], [42]], np.uint64) & np.uint64((1 << 21) - 1)
+    return (bits.astype(np.int64) * third >> 21) + np.arange(HASHES)[:, None] * third
 
 
-def sketch(own: np.ndarray, cells: int) -> np.ndarray:
+def sketch(own: np.ndarray, cells: int, hashes=None) -> np.ndarray:
     out = np.zeros(cells, _CELL)
-    for at in _places(own, cells):
-        np.add.at(out["count"], at, 1)
-        np.bitwise_xor.at(out["digest"], at, own)
-        np.bitwise_xor.at(out["check"], at, _check(own))
+    if not len(own):
+        return out
+    h, check = _hashes(own) if hashes is None else hashes
+    at = _places(h, cells).ravel()
+    out["count"] = np.bincount(at, minlength=cells)
+    order = np.argsort(at)
+    at = at[order]
+    head = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+    who = order % len(own)
+    out["digest"][at[head]] = np.bitwise_xor.reduceat(own[who], head)
+    out["check"][at[head]] = np.bitwise_xor.reduceat(check[who], head)
     return out
 
 
@@ -78,32 +87,36 @@ def subtract(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def peel(cells: np.ndarray) -> tuple[set[int], set[int]] | None:
     """(digests only in the first, only in the second), or None if cells are left over."""
-    cells, sides = cells.copy(), (set(), set())
+    count, digest, check = (cells[f].copy() for f in ("count", "digest", "check"))
+    sides = (set(), set())
     while True:
-        pure = np.flatnonzero((np.abs(cells["count"]) == 1) & (_check(cells["digest"]) == cells["check"]))
-        if not len(pure):
+        one = np.flatnonzero(np.abs(count) == 1)
+        h, c = _hashes(digest[one])
+        one, h, c = one[own := c == check[one]], h[own], c[own]
+        if not len(one):
             break
-        own, at = np.unique(cells["digest"][pure], return_index=True)
-        sign = cells["count"][pure][at]
-        for place in _places(own, len(cells)):
-            np.subtract.at(cells["count"], place, sign)
-            np.bitwise_xor.at(cells["digest"], place, own)
-            np.bitwise_xor.at(cells["check"], place, _check(own))
-        for d, s in zip(own.tolist(), sign.tolist()):
-            side, other = sides[s < 0], sides[s > 0]
-            if d in side or d in other:  # peeled before: the cells are garbled
+        own, at = np.unique(digest[one], return_index=True)
+        sign, h, c = count[one][at], h[at], c[at]
+        for place in _places(h, len(count)):
+            np.subtract.at(count, place, sign)
+            np.bitwise_xor.at(digest, place, own)
+            np.bitwise_xor.at(check, place, c)
+        for side, other, new in ((sides[0], sides[1], own[sign > 0].tolist()), (sides[1], sides[0], own[sign < 0].tolist())):
+            if not side.isdisjoint(new) or not other.isdisjoint(new):  # peeled before: the cells are garbled
                 return None
-            side.add(d)
-    return None if cells["count"].any() or cells["digest"].any() or cells["check"].any() else sides
+            side.update(new)
+    return None if count.any() or digest.any() or check.any() else sides
 
 
 def difference(a: np.ndarray, b: np.ndarray, cells: int = CELLS) -> tuple[set[int], set[int]]:
     """Digests that differ, from ever larger sketches until one can be peeled."""
-    while cells <= GROWTH * 4 * (len(a) + len(b) + CELLS):
+    of_a, of_b = _hashes(a), _hashes(b)
+    most = 2 * (len(a) + len(b) + CELLS)  # holds every digest of both
+    while cells <= GROWTH * most:
         cells -= cells % HASHES
-        if (sides := peel(subtract(sketch(a, cells), sketch(b, cells)))) is not None:
+        if (sides := peel(subtract(sketch(a, cells, of_a), sketch(b, cells, of_b)))) is not None:
             return sides
-        cells *= GROWTH
+        cells = max(most, GROWTH * cells)
     return set(np.setdiff1d(a, b).tolist()), set(np.setdiff1d(b, a).tolist())  # larger than both sets: compare them
 
 
@@ -130,9 +143,10 @@ _OUT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, ed
         "near_edited double, near_next double")
 
 
-def _row(doc_id, text: str, following: str) -> tuple:
+def _row(doc_id, text: str, following: str, own=None, after=None) -> tuple:
     new = edited(text, following)
-    own, changed, after = digests(text), digests(new), digests(following)
+    own = digests(text) if own is None else own
+    changed, after = digests(new), digests(following) if after is None else after
     return (doc_id, len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), published(own), published(changed),
             likeness(own, changed), likeness(own, after))
 
@@ -164,16 +178,17 @@ def fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
     empty = ("", "", "", 0.0, 0.0)
 
     def run(batches):
-        part, before, first = TaskContext.get().partitionId(), None, None
+        part, before, first, known = TaskContext.get().partitionId(), None, None, None
         for batch in batches:
             rows, tail = [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own = digests(text)
                 if before is None:
                     first = text
                 else:
-                    rows.append(_row(*before, text))
+                    rows.append(_row(*before, text, known, own))
                     tail.append((None, part, "row", None))
-                before = (doc_id, text)
+                before, known = (doc_id, text), own
             if rows:
                 yield _batch(rows, tail)
         if before is not None:  # the last row waits for the first text of the next range that has one

@@ -22,6 +22,8 @@ from .common import passes, texts
 LEAF = 16
 #: A leaf that has grown beyond this many pre-tokens makes its tree be built anew.
 FULL = 4 * LEAF
+#: New pre-tokens up to which the tokenizer itself is asked.
+FEW = 24
 #: Pre-tokens whose counts a worker keeps.
 KEPT = 500_000
 # Fixed value: the pattern of the byte-level vocabulary.
@@ -31,20 +33,35 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 class Counter:
     def __init__(self, path: str):
         import regex
+        from tokenizers import Tokenizer
 
         self.merges = from_json(path)
+        self.one = Tokenizer.from_file(path)
+        self.one.encode_special_tokens = True
         self.pattern = regex.compile(PATTERN)
         self.known: dict[str, int] = {}
 
     def cuts(self, text: str) -> list[str]:
         return self.pattern.findall(text)
 
+    def learn(self, texts: list[str | None]) -> None:
+        """Count the pre-tokens of many texts together, so that each text finds its own known."""
+        seen = set()
+        for t in texts:
+            seen.update(self.cuts(t or ""))
+        if len(seen) <= KEPT:
+            self.counts(list(seen))
+
     def counts(self, pieces: list[str]) -> np.ndarray:
         """Tokens of each pre-token."""
         new = list(set(pieces).difference(self.known))
         if new:
             if len(self.known) + len(new) > KEPT:
                 self.known, new = {}, list(set(pieces))
+            if len(new) <= FEW:  # a pass over few words costs more than they do
+                for p in new:
+                    self.known[p] = len(self.one.encode(p, add_special_tokens=False).ids)
+                return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
             raw = [p.encode("utf-8", "replace") for p in new]
             size = np.fromiter(map(len, raw), np.int64, len(raw))
             _, begin = self.merges.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum(size) - size, size)
@@ -157,6 +174,7 @@ def recount(docs: DataFrame, edits: str, tokenizer_path: str) -> DataFrame:
             keys, bodies, changes = (c.to_pylist() for c in batch.columns)
             rows = []
             for a, b in passes(bodies):
+                count.learn(bodies[a:b])
                 for key, text, own in zip(keys[a:b], bodies[a:b], changes[a:b]):
                     text = text or ""
                     tree = build(text, count)
