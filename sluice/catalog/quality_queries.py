@@ -224,12 +224,17 @@ def batch_runs(spark, sf):
     def resolver(name, from_warehouse):
         return table(spark, sf, name)
 
-    for run in range(1, 1000):  # bounded by rows / cap
+    run, reached = 0, None
+    while True:
+        run += 1
         state = spark.read.parquet(f"{state_root}/version={run - 1}")
         res = run_batch(spark, spec, "sales", source, state, curated_root, cap=RUN_CAP, resolver=resolver, snapshot=0)
         W.write_version(res.state, state_root, run)
         if not res.loaded:
             break
+        if reached is not None and res.window.cutoff_us <= reached:
+            raise RuntimeError(f"batch {run} made no progress beyond {reached}")
+        reached = res.window.cutoff_us
     W.compact(spark, curated_root, key="id", version="updated_at")
     return W.read_final(spark, curated_root, key="id", version="updated_at")
 

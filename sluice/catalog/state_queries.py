@@ -133,7 +133,7 @@ _UPD_SQL = """upd AS (
 @query("state_update", sql=f"""{WITH_SEEDED},
     {_UPD_SQL}
     SELECT s.schema, s.table_name,
-      COALESCE(date_trunc('millisecond', u.extracted_time), s.last_extracted_time) AS last_extracted_time,
+      COALESCE(u.extracted_time, s.last_extracted_time) AS last_extracted_time,
       COALESCE(date_trunc('millisecond', u.loaded_time), s.last_successful_load_time) AS last_successful_load_time,
       COALESCE(u.etl_status, s.etl_status) AS etl_status,
       CASE WHEN COALESCE(u.remove_backfill, false) THEN false ELSE s.backfill END AS backfill, s.etl_version
@@ -163,7 +163,7 @@ def state_update(spark, sf):
 @query("watermark_advance", sql="""
     WITH st AS (SELECT DISTINCT 'events' AS schema, event_type AS table_name FROM events),
     mx AS (SELECT event_type, max(ts) AS m FROM events WHERE ts >= TIMESTAMP '2024-01-25' AND event_type <> 'error' GROUP BY 1)
-    SELECT st.schema, st.table_name, date_trunc('millisecond', mx.m) AS last_extracted_time,
+    SELECT st.schema, st.table_name, mx.m AS last_extracted_time,
            TIMESTAMP '2024-02-01 00:00:00' AS last_successful_load_time, 'idle' AS etl_status, true AS backfill,
            'v1.0' AS etl_version
     FROM st LEFT JOIN mx ON st.table_name = mx.event_type""")
