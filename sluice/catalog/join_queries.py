@@ -99,7 +99,7 @@ def enrich_multikey(spark, sf):
                                                (F.col("l_suppkey") % 7).alias("k7"))
     right = table(spark, sf, "supplier").withColumn("k7", (F.col("s_nationkey") % 7).cast("bigint"))
     out = enrich(left, right, "supplier", ["l_suppkey", "k7"], ["s_suppkey", "k7"], how="inner",
-                 right_columns=["s_name"], broadcast_max_rows=100_000)
+                 right_columns=["s_name"])
     return out.drop("k7")
 
 

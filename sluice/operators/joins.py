@@ -4,13 +4,12 @@ The right table's columns are renamed ``<right_name>__<col>`` and pruned to
 the join key, the requested columns and the filter columns before the join,
 so the scan reads only those columns.  Physical strategy is Catalyst's /
 AQE's (broadcast below ``spark.sql.autoBroadcastJoinThreshold`` measured at
-runtime, sort-merge with skew splitting above it).  An explicit broadcast is
-used only behind a row-count check (``broadcast_max_rows``) that stops
-scanning at ``max_rows + 1``; beyond it the join stays a shuffle join.
+runtime, sort-merge with skew splitting above it).
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -20,7 +19,7 @@ from sluice.session import ensure_checkpoint_dir
 
 SEP = "__"
 _HOWS = {
-    "inner", "cross", "outer", "full", "fullouter", "full_outer", "left", "leftouter", "left_outer",
+    "inner", "outer", "full", "fullouter", "full_outer", "left", "leftouter", "left_outer",
     "right", "rightouter", "right_outer", "semi", "leftsemi", "left_semi", "anti", "leftanti", "left_anti",
 }
 _FILTERING = {"semi", "leftsemi", "left_semi", "anti", "leftanti", "left_anti"}
@@ -28,34 +27,39 @@ _FILTERING = {"semi", "leftsemi", "left_semi", "anti", "leftanti", "left_anti"}
 
 _SALTABLE = {"inner", "left", "leftouter", "left_outer", "semi", "leftsemi", "left_semi", "anti", "leftanti", "left_anti"}
 _SALT = "__sluice_salt"
-HOT_KEYS_BROADCAST_MAX = 100_000
+#: Keys that are salted at most; any other has at most this share (1 / HOT_KEYS) of the rows.
+HOT_KEYS = 10_000
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int) -> DataFrame:
-    """Keys with at least ``min_rows`` rows (a partial aggregate; at most
-    ``rows / min_rows`` keys qualify, so the result has a proven bound)."""
-    return df.groupBy(*keys).count().where(F.col("count") >= min_rows).select(*keys)
+    """Keys with at least ``min_rows`` rows, the ``HOT_KEYS`` largest of them
+    (a partial aggregate and a distributed top-k).  A key with a NULL matches
+    nothing and is never listed."""
+    counts = df.dropna("any", subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    return counts.where(F.col("__rows") >= min_rows).orderBy(F.desc("__rows")).limit(HOT_KEYS).select(*keys)
 
 
 def _salted(left: DataFrame, right: DataFrame, lkeys, rkeys, how: str, buckets: int, min_rows: int) -> DataFrame:
     """Skew-safe equi-join: rows of a hot key are spread over ``buckets``
-    salts chosen by a hash of the whole left row (deterministic, so a
-    retried task salts identically); the right rows of hot keys are
-    replicated once per salt, all other rows keep salt 0.  Every left row
-    meets exactly the right rows it would meet unsalted, so the result is
-    the plain join's, for inner / left / semi / anti joins."""
-    # The hot-key set is used four times (two size checks, two joins); a
-    # reliable checkpoint in the shared folder computes it with one pass
-    # over the left side instead of one pass per use.
+    salts, the right rows of hot keys are replicated once per salt, all
+    other rows keep salt 0.  Every left row meets exactly the right rows it
+    would meet unsalted, so the result is the plain join's, for inner / left
+    / semi / anti joins.
+
+    The salt is a hash of the row and its input partition: rows that are
+    the same are spread too, and a retried task salts them as before.  Rows
+    with a NULL key, which meet nothing, are spread likewise."""
+    # The hot-key set is used twice; a reliable checkpoint in the shared folder
+    # computes it with one pass over the left side.
     ensure_checkpoint_dir(left.sparkSession)
     hot = hot_keys(left, lkeys, min_rows).withColumn("__hot", F.lit(True)).checkpoint(eager=True)
-    max_hot = HOT_KEYS_BROADCAST_MAX  # beyond this the hot-key set is joined by shuffle
-    hot_l = F.broadcast(hot) if fits_broadcast(hot, max_hot) else hot
-    lh = left.join(hot_l, list(lkeys), "left")
-    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*[left[c] for c in left.columns]), F.lit(buckets))).otherwise(F.lit(0))
+    lh = left.join(F.broadcast(hot), list(lkeys), "left")
+    no_key = reduce(lambda a, b: a | b, [left[k].isNull() for k in lkeys])
+    spread = F.pmod(F.xxhash64(*[left[c] for c in left.columns], F.spark_partition_id()), F.lit(buckets))
+    salt = F.when(F.coalesce(F.col("__hot"), F.lit(False)) | no_key, spread).otherwise(F.lit(0))
     ls = lh.withColumn(_SALT, salt.cast("int")).drop("__hot")
     hot_r = hot.select(*[F.col(lk).alias(rk) for lk, rk in zip(lkeys, rkeys)], "__hot")
-    rh = right.join(F.broadcast(hot_r) if fits_broadcast(hot_r, max_hot) else hot_r, list(rkeys), "left")
+    rh = right.join(F.broadcast(hot_r), list(rkeys), "left")
     salts = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
     rs = rh.withColumn(_SALT, F.explode(salts)).drop("__hot")
     cond = ls[_SALT] == rs[_SALT]
@@ -66,12 +70,6 @@ def _salted(left: DataFrame, right: DataFrame, lkeys, rkeys, how: str, buckets:
     return out.select(*keep)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most
-    ``max_rows + 1`` rows to decide)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def prefixed(right: DataFrame, name: str, columns: Sequence[str] | None = None) -> DataFrame:
     cols = right.columns if columns is None else list(dict.fromkeys(columns))
     return right.select(*[F.col(c).alias(f"{name}{SEP}{c}") for c in cols])
@@ -87,7 +85,6 @@ def enrich(
     right_columns: Sequence[str] | None = None,
     filter_rows: Mapping[str, str] | None = None,
     replace_columns: Mapping[str, str] | None = None,
-    broadcast_max_rows: int | None = None,
     salt_buckets: int | None = None,
     hot_key_rows: int = 1_000_000,
 ) -> DataFrame:
@@ -117,8 +114,6 @@ def enrich(
         raise ValueError("semi/anti joins cannot carry right columns, filters or replacements")
     needed = rkeys + wanted + list(filter_rows.values()) + list(replace_columns.values())
     r = prefixed(right, right_name, needed)
-    if broadcast_max_rows is not None and fits_broadcast(r, broadcast_max_rows):
-        r = F.broadcast(r)
     if salt_buckets and salt_buckets > 1:
         if how not in _SALTABLE:
             raise ValueError("salting is exact only for inner, left, semi and anti joins")
@@ -162,7 +157,6 @@ def enrich_from(
         right_columns=join_conf.get("right_table_columns"),
         filter_rows=join_conf.get("filter_rows"),
         replace_columns=join_conf.get("replace_columns"),
-        broadcast_max_rows=join_conf.get("broadcast_max_rows"),
         salt_buckets=join_conf.get("salt_buckets"),
         hot_key_rows=join_conf.get("hot_key_rows", 1_000_000),
     )

@@ -51,29 +51,17 @@ def latest_per_key(
     return out.select(*keys, *[F.col(f"{_BEST}.{n}").alias(n) for n in names]).select(*df.columns)
 
 
-# Key sets of changed rows up to this many rows are broadcast by the
-# incremental merge; larger ones fall back to one full merge.
-TOUCHED_BROADCAST_MAX_KEYS = 2_000_000
-
-
-def split_touched(unique: DataFrame, changes: DataFrame, key="id",
-                  max_keys: int = TOUCHED_BROADCAST_MAX_KEYS) -> tuple[DataFrame, DataFrame] | None:
+def split_touched(unique: DataFrame, changes: DataFrame, key="id") -> tuple[DataFrame, DataFrame]:
     """Split ``unique`` (one row per key) into the rows whose key does not
-    occur in ``changes`` and those whose key does, with broadcast anti /
-    semi joins against the distinct keys of ``changes`` (no shuffle of
-    ``unique``).  None when those keys exceed ``max_keys`` rows, checked
-    without reading more than ``max_keys + 1`` of them.  Keys compare
-    null-safely, as grouping does."""
+    occur in ``changes`` and those whose key does: anti and semi joins
+    against the distinct keys of ``changes``.  Spark chooses by bytes
+    whether those keys are broadcast (then ``unique`` is not shuffled).
+    Keys compare null-safely, as grouping does."""
     from functools import reduce
 
-    from sluice.operators.joins import fits_broadcast
-
     keys = _keys(key)
     touched = changes.select(*[F.col(k).alias(f"__touched_{k}") for k in keys]).distinct()
-    if not fits_broadcast(touched, max_keys):
-        return None
-    touched = F.broadcast(touched)
-    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__touched_{k}")) for k in keys])
+    match =reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__touched_{k}")) for k in keys])
     return unique.join(touched, match, "left_anti"), unique.join(touched, match, "left_semi")
 
 
@@ -85,16 +73,16 @@ def merge_latest(current: DataFrame, incoming: DataFrame, key="id", version: str
 
     ``current_unique=True`` declares that ``current`` has one row per key
     (a curated table).  Then only the keys the batch touches are merged:
-    the other current rows pass through a broadcast anti join, so the
-    current table is scanned but never shuffled.  The result is the same."""
+    the other current rows pass through an anti join, so the current table
+    is not shuffled where the touched keys are small enough in bytes to be
+    broadcast.  The result is the same."""
     cur = current.select(*incoming.columns).withColumn(_PRIORITY, F.lit(0))
     new = incoming.withColumn(_PRIORITY, F.lit(1))
-    split = split_touched(cur, incoming, key) if current_unique else None
-    if split is None:
+    if not current_unique:
         merged = latest_per_key(cur.unionByName(new), key=key, version=version, priority=_PRIORITY,
                                 drop_null_versions=False)
         return merged.drop(_PRIORITY)
-    untouched, contested = split
+    untouched, contested = split_touched(cur, incoming, key)
     merged = latest_per_key(contested.unionByName(new), key=key, version=version, priority=_PRIORITY,
                             drop_null_versions=False)
     return untouched.unionByName(merged).drop(_PRIORITY)

@@ -11,8 +11,19 @@ holding a third of the rows) into several files instead of one huge task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
+
+
+#: Folder column of a partitioned landing.  The partition column itself stays in the
+#: files, so its values, type and place never depend on what a folder name can say.
+_FOLDER = "__landing_folder"
+
+
+def _folder(column: str, value: Column) -> Column:
+    """Folder name of a column's value; ``''`` and NULL differ, and no name looks like a number or a date."""
+    return F.concat(F.lit(f"{column}="), F.coalesce(F.concat(F.lit("v"), value.cast("string")), F.lit("null")))
 
 
 def batch_path(root: str, batch_id) -> str:
@@ -29,8 +40,8 @@ def write_landing(
     """SNK-1: write one batch (idempotent per ``batch_id``)."""
     path = batch_path(root, batch_id)
     if partition_by:
-        out = df.hint("rebalance", partition_by)
-        writer = out.write.mode("overwrite").partitionBy(partition_by)
+        out = df.withColumn(_FOLDER, _folder(partition_by, F.col(partition_by))).hint("rebalance", partition_by)
+        writer = out.write.mode("overwrite").partitionBy(_FOLDER)
     else:
         out = df.repartition(num_partitions) if num_partitions else df.hint("rebalance")
         writer = out.write.mode("overwrite")
@@ -56,8 +67,14 @@ def read_landing(
     else:
         df = spark.read.parquet(root)
     if partition_key is not None:
-        df = df.where(F.col(partition_key) == F.lit(partition_value))
-    return df
+        kind = df.schema[partition_key].dataType
+        value = F.lit(partition_value).cast(kind)
+        # two floats can be equal and be written differently
+        if _FOLDER in df.columns and not isinstance(kind, (FloatType, DoubleType)):
+            other = ~F.col(_FOLDER).startswith(f"{partition_key}=")
+            df = df.where((F.col(_FOLDER) == _folder(partition_key, value)) | other)
+        df = df.where(F.col(partition_key) == value)
+    return df.drop(_FOLDER)
 
 
 def reset(df_schema_source: DataFrame, path: str) -> None:

@@ -49,11 +49,17 @@ def test_enrich_prunes_right_side(spark):
         enrich(o, c, "customer", "o_custkey", "c_custkey", how="left_anti", right_columns=["c_name"])
 
 
-def test_broadcast_only_when_checked(spark):
+def test_broadcast_is_chosen_by_bytes(spark):
     o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
     c = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
-    small = enrich(o, c, "customer", "o_custkey", "c_custkey", right_columns=["c_name"], broadcast_max_rows=10_000)
-    assert "BroadcastHashJoin" in plan_text(small)
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    try:
+        for size, join in (("10m", "BroadcastHashJoin"), ("-1", "SortMergeJoin")):
+            spark.conf.set(name, size)
+            assert join in plan_text(enrich(o, c, "customer", "o_custkey", "c_custkey", right_columns=["c_name"]))
+    finally:
+        spark.conf.set(name, before)
 
 
 def test_state_protocol(spark):
@@ -69,7 +75,7 @@ def test_state_protocol(spark):
                           remove_backfill=True)
     st2 = S.update_state(st, upd)
     a = S.lookup(st2, "s", "a").collect()[0]
-    assert a["backfill"] is False and a["last_extracted_time"] == dt.datetime(2024, 1, 1, 0, 0, 0, 123000)
+    assert a["backfill"] is False and a["last_extracted_time"] == dt.datetime(2024, 1, 1, 0, 0, 0, 123456)
     assert sorted(tuple(r) for r in S.eligible_tables(pairs, st2, reg, "backfill").collect()) == [("s", "b")]
     st3 = S.update_state(st2, S.single_update(spark, "s", "b", status="running"))
     assert S.lookup(st3, "s", "b").collect()[0]["etl_status"] == "running"  # status-only update persists
