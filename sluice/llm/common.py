@@ -113,11 +113,18 @@ def gram_hashes(data: np.ndarray, q: int) -> np.ndarray:
         return mix((sums[q:] - sums[:-q]) * powers(_INVERSE, n - q + 1))
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of data[start:end] for each pair of offsets."""
+def prefix_sums(data: np.ndarray) -> np.ndarray:
     n = len(data)
     with np.errstate(over="ignore"):
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(_BASE, n), out=sums[1:])
+    return sums
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, sums: np.ndarray | None = None) -> np.ndarray:
+    """Hash of data[start:end] for each pair of offsets; ``sums`` are the prefix sums if they are at hand."""
+    n = len(data)
+    sums = prefix_sums(data) if sums is None else sums
+    with np.errstate(over="ignore"):
         body = (sums[end] - sums[start]) * powers(_INVERSE, n + 1)[start]
         return mix(body + (end - start).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mix, span_hashes, stored, texts
+from .common import mix, prefix_sums, span_hashes, stored, texts
 
 HASHES = 3
 #: Cells of the published sketch; on failure the next is large enough for all digests, then grows by the factor.
@@ -37,11 +38,12 @@ def digests(text: str) -> np.ndarray:
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(start):
         return np.array([len(text) + 1], np.uint64) if text else np.empty(0, np.uint64)
-    word = span_hashes(data, start, end)
+    sums = prefix_sums(data)
+    word = span_hashes(data, start, end, sums)
     line = np.searchsorted(np.flatnonzero(data == 10), start)
     last = np.concatenate((line[1:] != line[:-1], [True])) | (word % np.uint64(WORDS) == 0)
     head = np.concatenate(([0], np.flatnonzero(last)[:-1] + 1))
-    own = np.sort(span_hashes(data, start[head], end[np.flatnonzero(last)]))
+    own = np.sort(span_hashes(data, start[head], end[np.flatnonzero(last)], sums))
     first = np.searchsorted(own, own)
     with np.errstate(over="ignore"):
         return np.unique(mix(own + (np.arange(len(own)) - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
@@ -97,10 +99,10 @@ def peel(cells: np.ndarray) -> tuple[set[int], set[int]] | None:
             break
         own, at = np.unique(digest[one], return_index=True)
         sign, h, c = count[one][at], h[at], c[at]
-        for place in _places(h, len(count)):
-            np.subtract.at(count, place, sign)
-            np.bitwise_xor.at(digest, place, own)
-            np.bitwise_xor.at(check, place, c)
+        place = _places(h, len(count)).ravel()
+        np.subtract.at(count, place, np.tile(sign, HASHES))
+        np.bitwise_xor.at(digest, place, np.tile(own, HASHES))
+        np.bitwise_xor.at(check, place, np.tile(c, HASHES))
         for side, other, new in ((sides[0], sides[1], own[sign > 0].tolist()), (sides[1], sides[0], own[sign < 0].tolist())):
             if not side.isdisjoint(new) or not other.isdisjoint(new):  # peeled before: the cells are garbled
                 return None
@@ -108,30 +110,49 @@ def peel(cells: np.ndarray) -> tuple[set[int], set[int]] | None:
     return None if count.any() or digest.any() or check.any() else sides
 
 
-def difference(a: np.ndarray, b: np.ndarray, cells: int = CELLS) -> tuple[set[int], set[int]]:
+class Prepared(NamedTuple):
+    """A text's digests, their hashes and the smallest sketch, made once for all comparisons."""
+
+    digests: np.ndarray
+    hashes: tuple[np.ndarray, np.ndarray]
+    cells: np.ndarray
+
+
+def prepared(own: np.ndarray | Prepared) -> Prepared:
+    if isinstance(own, Prepared):
+        return own
+    hashes = _hashes(own)
+    return Prepared(own, hashes, sketch(own, CELLS, hashes))
+
+
+def difference(a: np.ndarray | Prepared, b: np.ndarray | Prepared, cells: int = CELLS) -> tuple[set[int], set[int]]:
     """Digests that differ, from ever larger sketches until one can be peeled."""
-    of_a, of_b = _hashes(a), _hashes(b)
-    most = 2 * (len(a) + len(b) + CELLS)  # holds every digest of both
+    a, b = prepared(a), prepared(b)
+    most = 2 * (len(a.digests) + len(b.digests) + CELLS)  # holds every digest of both
     while cells <= GROWTH * most:
         cells -= cells % HASHES
-        if (sides := peel(subtract(sketch(a, cells, of_a), sketch(b, cells, of_b)))) is not None:
+        of_a, of_b = (x.cells if cells == CELLS else sketch(x.digests, cells, x.hashes) for x in (a, b))
+        if (sides := peel(subtract(of_a, of_b))) is not None:
             return sides
         cells = max(most, GROWTH * cells)
-    return set(np.setdiff1d(a, b).tolist()), set(np.setdiff1d(b, a).tolist())  # larger than both sets: compare them
+    # larger than both sets: compare them
+    return set(np.setdiff1d(a.digests, b.digests).tolist()), set(np.setdiff1d(b.digests, a.digests).tolist())
 
 
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
+def likeness(a: np.ndarray | Prepared, b: np.ndarray | Prepared) -> float:
     """Shared digests by all digests; two texts without any are alike."""
-    if not len(a) and not len(b):
+    a, b = prepared(a), prepared(b)
+    if not len(a.digests) and not len(b.digests):
         return 1.0
     only_a, only_b = difference(a, b)
-    shared = len(a) - len(only_a)
+    shared = len(a.digests) - len(only_a)
     return max(0.0, shared / (shared + len(only_a) + len(only_b)))
 
 
-def published(own: np.ndarray) -> str:
+def published(own: np.ndarray | Prepared) -> str:
     """Number of digests and the cells of the smallest sketch."""
-    return f"{len(own)}:{base64.b64encode(sketch(own, CELLS).tobytes()).decode()}"
+    own = prepared(own)
+    return f"{len(own.digests)}:{base64.b64encode(own.cells.tobytes()).decode()}"
 
 
 def edited(text: str, following: str) -> str:
@@ -145,8 +166,8 @@ _OUT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, ed
 
 def _row(doc_id, text: str, following: str, own=None, after=None) -> tuple:
     new = edited(text, following)
-    own = digests(text) if own is None else own
-    changed, after = digests(new), digests(following) if after is None else after
+    own = prepared(digests(text) if own is None else own)
+    changed, after = prepared(digests(new)), prepared(digests(following) if after is None else after)
     return (doc_id, len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), published(own), published(changed),
             likeness(own, changed), likeness(own, after))
 
@@ -182,7 +203,7 @@ def fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
         for batch in batches:
             rows, tail = [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = digests(text)
+                own = prepared(digests(text))
                 if before is None:
                     first = text
                 else:
