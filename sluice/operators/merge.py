@@ -7,8 +7,7 @@ engine does) and then by the whole row, so the result is deterministic.
 It is an aggregate, not a window: ``groupBy(key).agg(max(struct(version,
 priority, *row)))``.  Spark runs it as a partial aggregation on every map
 task before the shuffle, so a key that holds a third of all rows is reduced
-to one row per map task instead of being sorted inside one reducer (a
-``row_number`` window would move every copy of the hot key into one task).
+to one row per map task before the shuffle.
 """
 
 from __future__ import annotations
