@@ -7,7 +7,7 @@ engine does) and then by the whole row, so the result is deterministic.
 It is an aggregate, not a window: ``groupBy(key).agg(max(struct(version,
 priority, *row)))``.  Spark runs it as a partial aggregation on every map
 task before the shuffle, so a key that holds a third of all rows is reduced
-to one row per map task before the shuffle.
+to one row per map task.
 """
 
 from __future__ import annotations
@@ -60,7 +60,7 @@ def split_touched(unique: DataFrame, changes: DataFrame, key="id") -> tuple[Data
 
     keys = _keys(key)
     touched = changes.select(*[F.col(k).alias(f"__touched_{k}") for k in keys]).distinct()
-    match =reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__touched_{k}")) for k in keys])
+    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__touched_{k}")) for k in keys])
     return unique.join(touched, match, "left_anti"), unique.join(touched, match, "left_semi")
 
 
