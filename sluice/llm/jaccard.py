@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_batches, mix, passes, span_hashes, stored, texts
-from .graph import components
+from .graph import components, with_links
 
 #: Sizes at which the overlap of a pair is counted in more fragments, and how many.
 LEVELS = ((1, 1), (2048, 16), (32768, 256))
@@ -292,13 +292,15 @@ def groups(docs: DataFrame, words: int = 3, t: int = 90) -> DataFrame:
     hubs = members.groupBy("key").agg(top.alias("h")).select("key", "h.hub", "h.hub_n", *[f"h.hub_{c}" for c in _MAP])
     tested = stored(_pairs(members, hubs, t), "pairs")
     links = stored(_linked(tested, parts, t), "links")
-    wide = SMALL_GROUP
+    roots = components(links)
+    wide, open_, most = SMALL_GROUP, None, 0
     while True:
-        roots = components(links)
-        now = (members.join(roots, "node", "left").select("key", "node", "n", *_MAP, F.coalesce("root", "node").alias("root")))
-        open_ = now.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi").select("key", "size")
-        open_ = stored(now.join(open_, "key"), "open")
-        if open_.isEmpty():
+        if open_ is None:  # the components have changed
+            now = members.join(roots, "node", "left").select("key", "node", "n", *_MAP, F.coalesce("root", "node").alias("root"))
+            split = now.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size"))
+            open_ = stored(now.join(split.where("lo <> hi").select("key", "size"), "key"), "open")
+            most = open_.agg(F.max("size")).first()[0]
+        if most is None:
             break
         # a member is a hub if its hash falls in the share wide / size of all hashes
         chance = (F.xxhash64("node", F.lit("hub")).cast("double") + 2.0**63) / 2.0**64 * F.col("size")
@@ -306,11 +308,12 @@ def groups(docs: DataFrame, words: int = 3, t: int = 90) -> DataFrame:
             "key", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("root").alias("hub_root"), *[F.col(c).alias(f"hub_{c}") for c in _MAP])
         new = _pairs(open_, hubs, t, F.col("root") != F.col("hub_root")).join(tested.select("u", "v"), ["u", "v"], "left_anti")
         new = stored(new, "pairs")
-        tested = tested.unionAll(new.select(tested.columns))
-        links = links.unionAll(stored(_linked(new, parts, t), "links"))
-        most = open_.agg(F.max("size")).first()[0]
+        if not new.isEmpty():
+            tested = tested.unionAll(new.select(tested.columns))
+            links = stored(_linked(new, parts, t), "links")
+            if not links.isEmpty():
+                roots, open_ = with_links(roots, links), None
         if wide >= most:  # every pair of different components that share a fragment has been compared
-            roots = components(links)
             break
         wide *= 64
     named = nodes.join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))

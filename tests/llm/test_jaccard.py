@@ -4,7 +4,7 @@ import re
 import pytest
 
 from sluice.llm import jaccard as J
-from sluice.llm.graph import components
+from sluice.llm.graph import components, with_links
 
 
 def shingles(text, k):
@@ -106,3 +106,13 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 200), (200, 300), (7, 7), (500, 500), (900, 800)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{i: 1 for i in range(1, 41)}, 100: 100, 200: 100, 300: 100, 900: 800, 800: 800}
+
+
+def test_links_added_to_components(spark):
+    frame = lambda rows: spark.createDataFrame(rows, "u long, v long")
+    roots = components(frame([(1, 2), (2, 3), (10, 11), (20, 21)]))
+    got = {r.node: r.root for r in with_links(roots, frame([(3, 10), (11, 2), (30, 31), (31, 32), (1, 3), (40, 40)])).collect()}
+    sets = {}
+    for node, root in got.items():
+        sets.setdefault(root, set()).add(node)
+    assert sorted(map(sorted, sets.values())) == [[1, 2, 3, 10, 11], [20, 21], [30, 31, 32], [40]]
