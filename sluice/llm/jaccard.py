@@ -278,15 +278,16 @@ def groups(docs: DataFrame, words: int = 3, t: int = 90) -> DataFrame:
     bodies = stored(_rows(docs).join(near.select("row").distinct(), "row", "left_semi").select("text").distinct(), "bodies")
     parts = stored(set_fragments(bodies, words, t).dropDuplicates(["node", "level", "fragment"]), "parts")
 
-    fine = fine_keys(bodies, words, t).dropDuplicates(["node", "cut"])
-    fine = stored(fine, "fine").select("node", "n", "cut", "deep", "total", *_MAP, F.explode("keys").alias("key"))
-    often = fine.groupBy("key").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    fine = stored(fine_keys(bodies, words, t).dropDuplicates(["node", "cut"]), "fine")
+    keys = fine.select("node", "cut", F.explode("keys").alias("key"))
+    often = keys.groupBy("key").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
     of_set = Window.partitionBy("node", "cut")
-    ranked = (fine.join(often, "key").withColumns({
+    ranked = (keys.join(often, "key").withColumns({
         "rank": F.row_number().over(of_set.orderBy("often", "key")), "found": F.count(F.lit(1)).over(of_set),
         "score": F.sum("often").over(of_set)}))
     # keys that no other set has come first in the order: they are total - found
-    members = stored(ranked.where("rank + total - found <= deep").select("key", "node", "n", "score", *_MAP), "members")
+    members = ranked.join(fine.drop("keys"), ["node", "cut"]).where("rank + total - found <= deep")
+    members = stored(members.select("key", "node", "n", "score", *_MAP), "members")
 
     top = F.max(F.struct("score", F.col("node").alias("hub"), F.col("n").alias("hub_n"), *[F.col(c).alias(f"hub_{c}") for c in _MAP]))
     hubs = members.groupBy("key").agg(top.alias("h")).select("key", "h.hub", "h.hub_n", *[f"h.hub_{c}" for c in _MAP])
