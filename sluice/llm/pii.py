@@ -4,8 +4,9 @@ All of it is DataFrame functions.  The fixed patterns give the base spans of
 each text.  Every token with a digit or an at sign is an instance, the word
 before it together with the token's shape is a pattern; base finds are the
 seeds.  Rounds of scoring pass over the pattern-instance graph: a pattern is as
-good as the instances it extracts, an instance as good as its best pattern.
-Patterns with enough seeds and a high score then give spans of their own.
+good as the instances it extracts, an instance that is no seed as good for a
+pattern as the best other pattern that extracts it.  Patterns with enough seeds,
+a high share of them and a high score then give spans of their own.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ _SIGNS = {"email": "@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x
 
 #: Different seeds a pattern must extract, the score it must reach, and the rounds of scoring.
 SEEDS, SCORE, ROUNDS = 5, 0.8, 3
+#: Seeds among the different tokens that a pattern extracts, at least; no support makes up for them.
+SHARE = 0.75
 #: Shortest token that can be discovered.
 SHORTEST = 6
 _SPANS = "array<struct<start:int,end:int,kind:string>>"
@@ -116,26 +119,37 @@ def located_tokens(docs: DataFrame) -> DataFrame:
     return d.withColumn("hits", F.transform("hits", instance))
 
 
-def discover(found: DataFrame, seeds: int = SEEDS, score: float = SCORE, rounds: int = ROUNDS) -> DataFrame:
+def scored(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """(pattern, seeds, n, score) from distinct edges (pattern, token, seed).
+
+    A seed is worth 1, another token what the best OTHER pattern that extracts it scored in the round before, damped.
+    """
+    stats = stored(edges.groupBy("pattern").agg(F.sum(F.col("seed").cast("long")).alias("seeds"), F.count(F.lit(1)).alias("n")), "patterns")
+    own = (F.col("seeds") + F.coalesce("support", F.lit(0.0))) / (F.col("n") + 1)
+    scores = stats.select("*", (F.col("seeds") / (F.col("n") + 1)).alias("score"))
+    # only a token that is no seed and that several patterns extract can be supported
+    several = edges.groupBy("token").agg(F.count(F.lit(1)).alias("in"), F.min("seed").alias("all")).where((F.col("in") > 1) & ~F.col("all"))
+    shared = stored(edges.join(several.select("token"), "token", "left_semi"), "shared")
+    for _ in range(rounds):
+        votes = stored(shared.join(scores.select("pattern", "score"), "pattern"), "votes")
+        best = votes.groupBy("token").agg(F.max(F.struct("score", "pattern")).alias("best"))
+        votes = votes.join(best, "token")
+        first = F.col("best.pattern") == F.col("pattern")
+        second = votes.where(~first).groupBy("token").agg(F.max("score").alias("second"))
+        worth = F.when(first, F.col("second")).otherwise(F.col("best.score"))
+        support = votes.where(~F.col("seed")).join(second, "token").groupBy("pattern").agg((0.9 * F.sum(worth)).alias("support"))
+        scores = stored(stats.join(support, "pattern", "left").select(*stats.columns, own.alias("score")), "scores")
+    return scores
+
+
+def discover(found: DataFrame, seeds: int = SEEDS, score: float = SCORE, rounds: int = ROUNDS, share: float = SHARE) -> DataFrame:
     """(doc_id, body, start, end) of tokens that good patterns extract beyond the base spans."""
     one = found.select("doc_id", "body", "base", F.explode("hits").alias("h")).select("doc_id", "body", "base", "h.*")
     one = one.where((F.length("before") > 0) & (F.length("token") >= SHORTEST))
     one = one.withColumn("seed", F.exists("base", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))).drop("base", "before")
     one = stored(one, "instances")
-    edges = one.groupBy("pattern", "token").agg(F.max("seed").alias("seed"))
-    # a pattern without enough different seeds can never be chosen: it is dropped before the rounds
-    enough = edges.groupBy("pattern").agg(F.sum(F.col("seed").cast("int")).alias("seeds")).where(F.col("seeds") >= seeds)
-    edges = stored(edges.join(enough, "pattern").withColumn("worth", F.col("seed").cast("double")), "edges")
-    patterns = None
-    for _ in range(rounds):
-        patterns = edges.groupBy("pattern").agg((F.sum("worth") / (F.count(F.lit(1)) + 1)).alias("score"))
-        # an instance that is no seed is worth what its best pattern is, damped
-        best = edges.join(patterns, "pattern").groupBy("token").agg(F.max("score").alias("best"))
-        edges = stored(edges.join(best, "token").select("pattern", "token", "seed", "seeds", F.when(
-            F.col("seed"), F.lit(1.0)).otherwise(0.9 * F.col("best")).alias("worth")), "edges")
-    if patterns is None:
-        return one.limit(0).select("doc_id", "body", "start", "end")
-    good = edges.groupBy("pattern").agg((F.sum("worth") / (F.count(F.lit(1)) + 1)).alias("score")).where(F.col("score") >= score).select("pattern")
+    edges = stored(one.groupBy("pattern", "token").agg(F.max("seed").alias("seed")), "edges")
+    good = scored(edges, rounds).where((F.col("seeds") >= seeds) & (F.col("seeds") >= share * F.col("n")) & (F.col("score") >= score)).select("pattern")
     return one.where("not seed").join(good, "pattern", "left_semi").select("doc_id", "body", "start", "end").distinct()
 
 

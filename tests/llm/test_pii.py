@@ -58,6 +58,26 @@ def test_few_seeds_teach_nothing(documents):
     assert {r.spans for r in got if r.doc_id == 9} == {""}
 
 
+def test_half_seeds_teach_nothing(documents):
+    # a pattern must not hand its own score back to itself
+    docs = [(i, f"the 10.{i}.3.4 ok") for i in range(50)] + [(100 + i, f"the 10.{i}.3.999 ok") for i in range(50)]
+    assert {r.spans for r in pii.report(documents(docs)).collect() if r.doc_id >= 100} == {""}
+
+
+def test_scores_equal_plain_rounds(spark):
+    rng = random.Random(5)
+    edges = {(f"p{rng.randrange(8)}", f"t{rng.randrange(40)}"): rng.random() < 0.6 for _ in range(150)}
+    want = {}
+    for _ in range(4):
+        old, want = want, {}
+        for p in {p for p, _ in edges}:
+            mine = [t for q, t in edges if q == p]
+            worth = [1 if edges[p, t] else 0.9 * max([old.get(q, 0) for q, u in edges if u == t and q != p], default=0) for t in mine]
+            want[p] = sum(worth) / (len(mine) + 1)
+    got = pii.scored(spark.createDataFrame([(p, t, s) for (p, t), s in edges.items()], "pattern string, token string, seed boolean"))
+    assert {r.pattern: round(r.score, 9) for r in got.collect()} == {p: round(x, 9) for p, x in want.items()}
+
+
 def test_redaction(documents):
     df = documents([(1, "é mail a@b.co, +1 555 123 4567 end"), (2, "clean"), (3, None), (1, "é mail a@b.co, +1 555 123 4567 end"), (None, "z@y.xw")])
     out = pii.redacted(df)
