@@ -1,8 +1,9 @@
 """Personal data: fixed patterns, and identifiers that bootstrapped contexts discover.
 
 All of it is DataFrame functions.  The fixed patterns give the base spans of
-each text.  Every token with a digit or an at sign is an instance, the word
-before it together with the token's shape is a pattern; base finds are the
+each text.  Every base span, every token with a digit or an at sign and every
+group of numbers is an instance; the word before it, the word after it, both, and
+the word before with the instance's shape are its patterns; base spans are the
 seeds.  Rounds of scoring pass over the pattern-instance graph: a pattern is as
 good as the instances it extracts, an instance that is no seed as good for a
 pattern as the best other pattern that extracts it.  Patterns with enough seeds,
@@ -35,6 +36,13 @@ SHARE = 0.75
 #: Shortest token that can be discovered.
 SHORTEST = 6
 _SPANS = "array<struct<start:int,end:int,kind:string>>"
+#: Stands for the characters of base spans while instances are located.
+_MARK = "\ue000"
+_NUMBER = rf"[+(]*+[0-9]++(?:[().-]++[0-9]++)*+\)?+(?=[^\p{{L}}0-9@\s{_MARK}]*+(?:\s|$))"
+#: A word and blanks, so that one pass finds it too, then what holds a base span, numbers in groups (19 at most, as the
+#: digits of a card), or a token with a digit or an at sign; further base spans of the same token.
+_WIDE = (rf"(?:(?<=\s)|^)(?:[^\s0-9@{_MARK}]++\s++)?(?:[^\s{_MARK}]*+{_MARK}++|{_NUMBER}(?:\x20{_NUMBER}){{1,18}}+|[^\s0-9@{_MARK}]*+[0-9@]\S*+)"
+         rf"|(?<={_MARK})[^\s{_MARK}]*+{_MARK}++")
 
 
 def _located(text: Column, pattern: str) -> Column:
@@ -100,23 +108,53 @@ def _shape(token: Column) -> Column:
     return F.substring(out, 1, 24)
 
 
-def located_tokens(docs: DataFrame) -> DataFrame:
-    """Per row: id, a number of the text, base spans, and the instances (pattern, token, offsets, seed)."""
-    text = F.coalesce("text", F.lit(""))
-    # the token with the word and blanks before it, so that one pass finds both
-    wide = r"(?:(?<=\s)|^)(?:[^\s0-9@]++\s++)?[^\s0-9@]*+[0-9@]\S*+"
-    hits = F.when(text.rlike("[0-9@]"), _located(text, wide)).otherwise(F.array().cast("array<struct<start:int,end:int,m:string>>"))
-    d = texts(docs).select("doc_id", F.xxhash64(text).alias("body"), base_spans(text).alias("base"), hits.alias("hits"))
+def _masked(text: Column, base: Column) -> Column:
+    """The text with each base span filled with marks, of the same length."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    plain = F.translate(text, _MARK, " ")
+    cut = F.aggregate(base, start, lambda acc, x: F.when(x["end"] <= acc["at"], acc).otherwise(F.struct(x["end"].alias("at"), F.concat(
+        acc["out"], F.substring(plain, acc["at"] + 1, F.greatest(x["start"] - acc["at"], F.lit(0))),
+        F.repeat(F.lit(_MARK), x["end"] - F.greatest(x["start"], acc["at"]))).alias("out"))))
+    return F.when(F.size(base) == 0, plain).otherwise(F.concat(cut["out"], F.substring(plain, cut["at"] + 1, F.length(text))))
+
+
+def _word(x: Column) -> Column:
+    return F.lower(F.regexp_replace(x, r"^[^\p{L}]+|[^\p{L}]+$", ""))
 
-    def instance(x):
-        token = F.regexp_extract(x["m"], r"(\S+)$", 1)
-        bare = F.regexp_replace(token, r"[^\p{L}0-9]+$", "")
-        before = F.lower(F.regexp_replace(F.regexp_extract(x["m"], r"^(\S+)\s", 1), r"^[^\p{L}]+|[^\p{L}]+$", ""))
-        start = x["end"] - F.length(token)
-        return F.struct(F.concat_ws(" ", before, _shape(bare)).alias("pattern"), before.alias("before"), bare.alias("token"),
-                        start.alias("start"), (start + F.length(bare)).alias("end"))
 
-    return d.withColumn("hits", F.transform("hits", instance))
+def located_tokens(docs: DataFrame) -> DataFrame:
+    """Per row: id, a number of the text, base spans, and the instances (token, offsets, seed, patterns).
+
+    A base span is one instance, whatever blanks it has; so is a run of numbers with single blanks between them.
+    """
+    text = F.coalesce("text", F.lit(""))
+    d = texts(docs).select("doc_id", text.alias("text"), F.xxhash64(text).alias("body"), base_spans(text).alias("base"))
+    d = d.withColumn("masked", _masked(F.col("text"), F.col("base")))
+    hits = F.when(F.col("masked").rlike(f"[0-9@{_MARK}]"), _located(F.col("masked"), _WIDE)).otherwise(
+        F.array().cast("array<struct<start:int,end:int,m:string>>"))
+    d = d.withColumn("hits", hits)
+
+    def instance(x, i):
+        unit = F.regexp_replace(x["m"], rf"^[^\s0-9@{_MARK}]++\s++", "")
+        seed = x["m"].contains(_MARK)
+        label = F.regexp_extract(unit, rf"^([^{_MARK}]*+){_MARK}", 1)
+        bare = F.when(seed, F.regexp_extract(unit, f"({_MARK}+)", 1)).otherwise(F.regexp_replace(unit, r"[^\p{L}0-9]+$", ""))
+        start = x["end"] - F.length(unit) + F.length(label)
+        token = F.when(seed, F.substring(F.col("text"), start + 1, F.length(bare))).otherwise(bare)
+        own = _word(label)
+        left = F.when(F.length(own) > 0, own).otherwise(_word(F.regexp_extract(x["m"], rf"^([^\s0-9@{_MARK}]++)\s", 1)))
+        tail = F.substring(F.col("masked"), x["end"] + 1, 80)
+        right = _word(F.regexp_extract(tail, rf"^[^\p{{L}}0-9@{_MARK}]*+(\p{{L}}[^\s0-9@{_MARK}]*+)(?=\s|$)", 1))
+        # a side without a word: the edge of the text, or something else that is no word
+        edge = lambda w, at_edge: F.when(F.length(w) > 0, w).when(at_edge, F.lit("^")).otherwise(F.lit("#"))
+        both = F.concat_ws(" ", edge(left, x["start"] == 0), edge(right, F.trim(tail) == ""))
+        some = lambda w, kind, *of: F.when(F.length(w) > 0, F.concat_ws(" ", F.lit(kind), *of))
+        patterns = F.array_compact(F.array(some(left, "L", left), some(right, "R", right), some(F.concat(left, right), "B", both),
+                                           some(left, "S", left, _shape(token))))
+        return F.struct(token.alias("token"), start.alias("start"), (start + F.length(bare)).alias("end"), seed.alias("seed"),
+                        patterns.alias("patterns"))
+
+    return d.select("doc_id", "body", "base", F.transform("hits", instance).alias("hits"))
 
 
 def scored(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -144,11 +182,11 @@ def scored(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
 def discover(found: DataFrame, seeds: int = SEEDS, score: float = SCORE, rounds: int = ROUNDS, share: float = SHARE) -> DataFrame:
     """(doc_id, body, start, end) of tokens that good patterns extract beyond the base spans."""
-    one = found.select("doc_id", "body", "base", F.explode("hits").alias("h")).select("doc_id", "body", "base", "h.*")
-    one = one.where((F.length("before") > 0) & (F.length("token") >= SHORTEST))
-    one = one.withColumn("seed", F.exists("base", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))).drop("base", "before")
-    one = stored(one, "instances")
-    edges = stored(one.groupBy("pattern", "token").agg(F.max("seed").alias("seed")), "edges")
+    one = found.select("doc_id", "body", F.explode("hits").alias("h")).select("doc_id", "body", "h.*")
+    one = one.where(F.col("seed") | (F.length("token") >= SHORTEST)).withColumn("pattern", F.explode("patterns"))
+    # an occurrence has one pattern of each kind; support comes from patterns of the same kind, so from other places
+    token = F.concat(F.substring("pattern", 1, 1), "token").alias("token")
+    edges = stored(one.groupBy("pattern", token).agg(F.max("seed").alias("seed")), "edges")
     good = scored(edges, rounds).where((F.col("seeds") >= seeds) & (F.col("seeds") >= share * F.col("n")) & (F.col("score") >= score)).select("pattern")
     return one.where("not seed").join(good, "pattern", "left_semi").select("doc_id", "body", "start", "end").distinct()
 

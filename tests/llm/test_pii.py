@@ -64,6 +64,22 @@ def test_half_seeds_teach_nothing(documents):
     assert {r.spans for r in pii.report(documents(docs)).collect() if r.doc_id >= 100} == {""}
 
 
+def test_contexts_find_unseen_shapes_and_blanks(documents):
+    docs = [(i, f"call tel +1 555 {100 + i} 4567 now or a") for i in range(20)]
+    docs += [(50 + i, f"pay card 5105 {1000 + i} {2000 + i} {luhn_end(f'5105{1000 + i}{2000 + i}')} today") for i in range(20)]
+    docs += [(100, "his tel 555 123 4567 now"), (101, "her card 4111 1111 1111 1112 today"), (102, "new tel (017) 555-7713, ok"),
+             (103, "old card AB/99-1234x today"), (104, "room 555 123 4567 free"), (105, "tel:+1 555 321 4567 and 12 034567 now"),
+             (106, "555 987 6543 now")]
+    got = {r.doc_id: r.spans for r in pii.report(documents(docs)).collect()}
+    assert got[0] == "phone:9:24" and got[50] == "card:9:28"
+    assert got[100] == "context:8:20" and got[101] == "context:9:28" and got[102] == "context:8:22"
+    assert got[103] == "context:9:20" and got[104] == "" and got[105].startswith("phone:4:19") and got[106] == "context:0:12"
+
+
+def luhn_end(head):
+    return next(f"{x:04d}" for x in range(10) if luhn(f"{head}{x:04d}"))
+
+
 def test_scores_equal_plain_rounds(spark):
     rng = random.Random(5)
     edges = {(f"p{rng.randrange(8)}", f"t{rng.randrange(40)}"): rng.random() < 0.6 for _ in range(150)}
