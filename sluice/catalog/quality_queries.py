@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sluice.catalog.registry import ORACLES, query, table
 from sluice.functions import repairs as RP
+from sluice.operators import batch as B
 from sluice.operators import quality as Q
 from sluice.operators import state as S
 from sluice.plans.run import run_batch
@@ -280,6 +281,29 @@ def landing_extract_transform(spark, sf):
     return transform_batch(spark, spec, landing, 1, resolver=lambda name, wh: table(spark, sf, name))
 
 
+@query("landing_extract_transform_full", sql=ORACLES_BATCH_RUNS)
+def landing_extract_transform_full(spark, sf, cap=B.REFERENCE_BATCH_CAP):
+    """``landing_extract_transform`` over the whole source: every capped
+    window is landed and transformed until the source is drained; the latest
+    version of a key that several batches hold is kept."""
+    from sluice.operators.merge import latest_per_key
+    from sluice.plans.run import extract_batch, transform_batch
+
+    spec = _spec()
+    spec.partition_by = "o_orderstatus"
+    source = _run_source(spark, sf)
+    landing, out, n = shared_dir(spark, "landing-orders"), shared_dir(spark, "landed-transformed"), 0
+    for n, window in enumerate(B.drain_windows(source, "updated_at", cap), start=1):
+        extract_batch(source, spec, window, landing, batch_id=n)
+        batch = transform_batch(spark, spec, landing, n, resolver=lambda name, wh: table(spark, sf, name))
+        batch.write.mode("overwrite").parquet(f"{out}/batch={n}")
+    if n == 0:
+        extract_batch(source, spec, B.BatchWindow("updated_at", None, None), landing, batch_id=0)
+        return transform_batch(spark, spec, landing, 0, resolver=lambda name, wh: table(spark, sf, name))
+    rows = spark.read.parquet(*[f"{out}/batch={i}" for i in range(1, n + 1)])
+    return latest_per_key(rows, key="id", version="updated_at") if n > 1 else rows
+
+
 @query("run_audit", sql=f"""
     WITH src AS ({_RUN_SQL_SRC}),
     b AS (SELECT *, CASE WHEN updated_at <= (SELECT max(updated_at) FROM (SELECT updated_at FROM src ORDER BY updated_at LIMIT {RUN_CAP}))

@@ -19,6 +19,7 @@ the parquet scan (row-group pruning) or the JDBC query.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -188,6 +189,17 @@ def resolve_window(
     return BatchWindow(version, start_us, cutoff, inclusive_start=(mode == "backfill"), rows=rows)
 
 
+def drain_windows(df: DataFrame, version: str = "updated_at", cap: int = REFERENCE_BATCH_CAP, fanout: int = DEFAULT_FANOUT) -> Iterator[BatchWindow]:
+    """Consecutive capped windows from the first version on, until the table is read."""
+    start_us = None
+    while True:
+        cutoff, rows = cap_cutoff_rows(df, version, start_us, cap, fanout)
+        if cutoff is None:
+            return
+        yield BatchWindow(version, start_us, cutoff, rows=rows)
+        start_us = cutoff
+
+
 def batch_bounds(df: DataFrame, window: BatchWindow, id_col: str = "id") -> DataFrame:
     """AG-1: one row ``lower_bound, upper_bound, batch_cutoff, batch_rows``.
 
