@@ -6,7 +6,8 @@ their sizes, so of F > D fragments at least F - D are the same in both.  A coars
 (F little above D) finds the sets that share enough fragments with any other;
 only these are cut again finely (F = 4 D), and two linked ones must share a
 fragment among the D + 1 rarest of each and have parity maps at most D apart.  For these candidates the overlap is
-counted fragment by fragment, in separate rows, and summed per pair.
+counted fragment by fragment, in separate rows, and summed per pair; where the
+smaller set has under 2048 n-grams, one fragment holds it all.
 
 Copies (equal sets) are one node.  Within a group that shares a fragment not
 all pairs are made: members are first compared with the one that has most in common with the rest, then only
@@ -135,8 +136,8 @@ def fragment_keys(doc: np.ndarray, gram: np.ndarray, size: np.ndarray, t: int, f
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    """doc_id, text and a number that finds the row again (ids may be null)."""
-    return texts(docs).withColumn("row", F.coalesce("doc_id", F.xxhash64("text")))
+    """doc_id, text, its hash and a number that finds the row again (ids may be null)."""
+    return texts(docs).withColumn("body", F.xxhash64("text")).withColumn("row", F.coalesce("doc_id", "body"))
 
 
 def _lists(owner: np.ndarray, values: np.ndarray, n: int) -> pa.ListArray:
@@ -164,9 +165,9 @@ def parity_maps(doc: np.ndarray, gram: np.ndarray, n: int) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, words: int, t: int) -> DataFrame:
-    """(doc_id, row, n, node, need, keys) per document row; ``need`` keys at least are in another set if it is linked."""
+    """(doc_id, body, row, n, node, need, keys) per document row; ``need`` keys at least are in another set if it is linked."""
     def run(batch):
-        ids, rows, bodies = batch.column("doc_id"), batch.column("row"), batch.column("text").to_pylist()
+        ids, hashes, rows, bodies = batch.column("doc_id"), batch.column("body"), batch.column("row"), batch.column("text").to_pylist()
         for a, b in passes(bodies):
             doc, gram = gram_sets(bodies[a:b], words)
             size = np.bincount(doc, minlength=b - a)
@@ -178,10 +179,10 @@ def sketch(docs: DataFrame, words: int, t: int) -> DataFrame:
                 has = np.unique(f[0])
                 need[has] = np.minimum(need[has], f[4][has])
             order = np.argsort(owner, kind="stable")
-            yield {"doc_id": ids[a:b], "row": rows[a:b], "n": pa.array(size.astype(np.int64)), "node": pa.array(set_nodes(doc, gram, b - a)),
+            yield {"doc_id": ids[a:b], "body": hashes[a:b], "row": rows[a:b], "n": pa.array(size.astype(np.int64)), "node": pa.array(set_nodes(doc, gram, b - a)),
                    "need": pa.array(need), "keys": _lists(owner[order], key[order], b - a)}
 
-    return map_batches(_rows(docs), run, "doc_id long, row long, n long, node long, need long, keys array<long>")
+    return map_batches(_rows(docs), run, "doc_id long, body long, row long, n long, node long, need long, keys array<long>")
 
 
 def fine_keys(bodies: DataFrame, words: int, t: int) -> DataFrame:
@@ -268,6 +269,11 @@ def groups(docs: DataFrame, words: int = 3, t: int = 90) -> DataFrame:
     rows; a row without an id takes the smallest id of its component, if any
     has one.  Component ids are the smallest id reachable by links.
     """
+    return _grouped(docs, words, t).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def _grouped(docs: DataFrame, words: int, t: int) -> DataFrame:
+    """(doc_id, body, n, root, component_id) per document row; ``root`` tells components apart where ids clash."""
     s = stored(sketch(docs, words, t), "sketch")
     entries = s.select("node", F.explode("keys").alias("key"))
     shared = entries.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("key")
@@ -319,18 +325,25 @@ def groups(docs: DataFrame, words: int = 3, t: int = 90) -> DataFrame:
         wide *= 64
     named = nodes.join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
     lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = named.join(lowest, "root").select("node", "component_id")
-    out = s.select("doc_id", "n", "node").join(named, "node", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"),
+    named = named.join(lowest, "root").select("node", "root", "component_id")
+    out = s.select("doc_id", "body", "n", "node").join(named, "node", "left")
+    return out.select("doc_id", "body", "n", "root",
                       F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, words: int = 5, t: int = 80) -> DataFrame:
     """The document rows (all columns) that stand for their group: the one with its smallest id.
 
-    Of rows that repeat a kept id one stays.  Rows without an id cannot stand for
-    a group and are kept as they are.
+    Rows are told apart by id and text: where an id has several texts, each
+    component keeps one row, by smallest id, then by the text's hash.  Of rows that
+    repeat both one stays.  Texts without n-grams are components of their own.
+    Rows without an id cannot stand for a group and are kept as they are.
     """
-    keep = groups(docs.where("doc_id is not null"), words, t).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(keep, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    g = stored(_grouped(docs.where("doc_id is not null"), words, t).select("doc_id", "body", "n", "root"), "grouped")
+    first = g.where("n > 0").groupBy("root").agg(F.min(F.struct("doc_id", "body")).alias("first")).select("first.*")
+    keep = first.unionByName(g.where("n = 0").select("doc_id", "body").distinct()).select(
+        F.col("doc_id").alias("_id"), F.col("body").alias("_body"))
+    rows = docs.withColumn("_text", F.xxhash64(F.col("text").cast("string")))
+    kept = rows.join(keep, (F.col("doc_id").cast("long") == F.col("_id")) & (F.col("_text") == F.col("_body")), "left_semi")
+    one = kept.groupBy("doc_id", "_text").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row"))
+    return one.select("row.*").unionByName(docs.where("doc_id is null"))

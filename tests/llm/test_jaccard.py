@@ -97,6 +97,15 @@ def test_one_of_each(documents):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted({c for d, _, c in brute(docs, 5, 80)})
 
 
+def test_one_of_each_where_ids_clash(documents):
+    first, other = [" ".join(f"{w}{i}" for i in range(40)) for w in "ab"]
+    # 2 is a near copy of 1 and a text of its own; 3 has one text twice; 4 has two texts without n-grams
+    docs = [(1, first), (2, first + " end"), (2, other), (3, other + " end"), (3, other + " end"), (4, "x"), (4, "y"), (4, "y")]
+    for parts in (1, 5):
+        kept = J.one_of_each(documents(docs).repartition(parts)).collect()
+        assert sorted((r.doc_id, r.text) for r in kept) == [(1, first), (2, other), (4, "x"), (4, "y")]
+
+
 def test_empty_table(documents):
     assert J.groups(documents([])).collect() == []
     assert J.one_of_each(documents([])).collect() == []
