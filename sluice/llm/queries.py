@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import textwrap
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import infill
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +20,10 @@ def query(fn):
     return fn
 
 
+def sql(name: str, text: str) -> None:
+    ORACLES[name] = textwrap.dedent(text).strip()
+
+
 def tokenizer(name: str) -> str:
     import public_tokenizers
 
@@ -94,3 +100,11 @@ def op2_bwt_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .repeats import without_repeats
 
     return without_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digests(table(spark, sf_dir, "documents"))
+
+
+sql("op12_fill_in_middle", infill.SQL)
