@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import infill
+from . import infill, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,8 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 sql("op12_fill_in_middle", infill.SQL)
+
+
+@query
+def op13_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(table(spark, sf_dir, "pages"))
