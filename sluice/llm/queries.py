@@ -113,3 +113,10 @@ sql("op12_fill_in_middle", infill.SQL)
 @query
 def op13_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.report(table(spark, sf_dir, "pages"))
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .variants import variants
+
+    return variants(table(spark, sf_dir, "documents"))
