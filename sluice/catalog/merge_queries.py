@@ -9,8 +9,9 @@ from sluice.catalog.dirty import dirty_customer, dirty_customer_sql
 from sluice.catalog.registry import query, table
 from sluice.operators import merge as M
 from sluice.session import shared_dir
+from sluice.sources import clean as C
+from sluice.sources import curated as K
 from sluice.sources import landing as L
-from sluice.sources import warehouse as W
 
 EV_COLS = "event_id, ts, user_id, event_type, value, props"
 _DESC = "ts DESC NULLS LAST, p DESC, event_id DESC NULLS LAST, event_type DESC NULLS LAST, value DESC NULLS LAST, props DESC NULLS LAST"
@@ -94,16 +95,65 @@ def required_timestamps(spark, sf):
     return require_timestamps(o).select("o_orderkey", "o_orderdate")
 
 
-@query("curated_load", sql="SELECT DISTINCT * FROM (SELECT * FROM orders UNION ALL SELECT * FROM orders)")
+_STAGED = """
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate - INTERVAL 30 YEAR AS o_orderdate, o_orderpriority
+    FROM orders WHERE o_orderkey % 3 <> 0"""
+_STAGED_LATER = """
+    SELECT o_orderkey, o_custkey, 'R' AS o_orderstatus, o_totalprice + 1 AS o_totalprice,
+           CASE o_orderkey % 3 WHEN 0 THEN o_orderdate WHEN 1 THEN o_orderdate - INTERVAL 30 YEAR
+                ELSE o_orderdate - INTERVAL 31 YEAR END AS o_orderdate, o_orderpriority
+    FROM orders WHERE o_orderkey % 2 = 0"""
+
+
+@query("curated_load", sql=f"""
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, CAST(0 AS BIGINT) AS staged_left
+    FROM (SELECT *, 0 AS p FROM ({_STAGED}) UNION ALL SELECT *, 1 FROM ({_STAGED_LATER}))
+    QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderdate DESC, p DESC) = 1""")
 def curated_load(spark, sf):
-    """SNK-3 / AG-4: staged rows that arrived twice (a retried append)
-    collapse to one with SELECT DISTINCT *; the result is committed as the
-    next curated version and read back."""
+    """SNK-3 / AG-4: two staged batches go into one keyed table, the second
+    into the filled one; each arrives twice (a retried append) and is emptied
+    after its load.  Versions lie around 1970; of the second batch's keys a
+    third are new, a third have an equal version (they win) and a third an
+    older one (they lose)."""
     o = table(spark, sf, "orders")
-    staged = o.unionByName(o)
-    root = shared_dir(spark, "curated-orders")
-    W.commit_next(spark, M.distinct_rows(staged), root, cluster_key="o_orderkey")
-    return W.read_table(spark, root)
+    o.createOrReplaceTempView("sluice_staged_orders")
+    root, staged = shared_dir(spark, "curated-orders"), shared_dir(spark, "staged-orders")
+    for text in (_STAGED, _STAGED_LATER):
+        rows = spark.sql(text.replace("FROM orders", "FROM sluice_staged_orders"))
+        rows.unionByName(rows).write.mode("overwrite").parquet(staged)
+        K.load_staged(spark, staged, root, key="o_orderkey", version="o_orderdate")
+    left = spark.read.parquet(staged).agg(F.count(F.lit(1)).alias("staged_left"))
+    return K.read(spark, root).crossJoin(F.broadcast(left))  # one row
+
+
+_REJECTS = {"id": "bigint", "latitude": "float", "customer_nik": "decimal(16,0)", "c_acctbal": "decimal(6,2)", "deleted": "boolean"}
+
+
+@query("clean_layer", sql=f"""
+    WITH d AS (SELECT id, latitude, customer_nik, c_acctbal, TRY_CAST(latitude AS FLOAT) AS la,
+                      TRY_CAST(customer_nik AS DECIMAL(16,0)) AS ni, TRY_CAST(c_acctbal AS DECIMAL(6,2)) AS ac
+               FROM {dirty_customer_sql()} d),
+    f AS (SELECT id, 'latitude' AS column_name, latitude AS raw_value FROM d WHERE latitude IS NOT NULL AND la IS NULL
+          UNION ALL SELECT id, 'customer_nik', customer_nik FROM d WHERE customer_nik IS NOT NULL AND ni IS NULL
+          UNION ALL SELECT id, 'c_acctbal', CAST(c_acctbal AS VARCHAR) FROM d WHERE c_acctbal IS NOT NULL AND ac IS NULL)
+    SELECT 'clean' AS side, NULL AS column_name, NULL AS raw_value, count(*) AS row_count FROM d WHERE id NOT IN (SELECT id FROM f)
+    UNION ALL SELECT 'rejected', NULL, NULL, count(DISTINCT id) FROM f
+    UNION ALL SELECT 'value', column_name, raw_value, count(*) FROM f WHERE column_name <> 'c_acctbal' GROUP BY 2, 3
+    UNION ALL SELECT 'value', column_name, NULL, count(*) FROM f WHERE column_name = 'c_acctbal' GROUP BY 2""")
+def clean_layer(spark, sf):
+    """SNK-2: dirty customers written once to the clean layer: rows on each
+    side, and the rejected values with the column whose type they do not fit
+    (balances by number only)."""
+    d = dirty_customer(spark, sf).select(*_REJECTS)
+    root = shared_dir(spark, "clean-layer")
+    C.write(spark, d, root, "first", _REJECTS)
+    sides = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("side"), F.lit(None).cast("string").alias("column_name"),
+                                                              F.lit(None).cast("string").alias("raw_value"), "row_count")
+             for n, df in (("clean", C.read(spark, root, "first")), ("rejected", C.rejected(spark, root, "first")))]
+    values = C.rejected(spark, root, "first").select(F.explode("failed_values").alias("f")).select(
+        "f.column_name", F.when(F.col("f.column_name") != "c_acctbal", F.col("f.raw_value")).alias("raw_value"))
+    counted = values.groupBy("column_name", "raw_value").agg(F.count(F.lit(1)).alias("row_count"))
+    return sides[0].unionByName(sides[1]).unionByName(counted.select(F.lit("value").alias("side"), "column_name", "raw_value", "row_count"))
 
 
 @query("landing_roundtrip", sql="SELECT event_id, ts, user_id, value, props, event_type, 7 AS batch_id FROM events")

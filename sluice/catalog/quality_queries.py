@@ -9,8 +9,9 @@ from sluice.catalog.registry import ORACLES, query, table
 from sluice.functions import repairs as RP
 from sluice.operators import batch as B
 from sluice.operators import quality as Q
+from sluice.operators import runlog as R
 from sluice.operators import state as S
-from sluice.plans.run import run_batch
+from sluice.plans.run import read_committed, run_batch
 from sluice.plans.spec import TableSpec
 from sluice.session import shared_dir
 from sluice.sources import warehouse as W
@@ -214,9 +215,9 @@ _RUN_SQL_SRC = """
     FROM latest l LEFT JOIN customer c ON l.o_custkey = c.c_custkey""")
 def batch_runs(spark, sf):
     """Whole lifecycle: capped batches (5000 rows) until the source is
-    drained; each run cleans, enriches, appends a part to the curated
-    replacing table and persists the advanced bookmark; then the parts are
-    compacted.  Returns the FINAL view (latest version per id)."""
+    drained; each run cleans, enriches, merges into the key buckets of the
+    curated table and persists the advanced bookmark, which names the curated
+    version.  Returns the curated table as the state names it."""
     source = _run_source(spark, sf)
     curated_root, state_root = shared_dir(spark, "curated-runs"), shared_dir(spark, "state-runs")
     spec = _spec()
@@ -228,16 +229,15 @@ def batch_runs(spark, sf):
     run, reached = 0, None
     while True:
         run += 1
-        state = spark.read.parquet(f"{state_root}/version={run - 1}")
-        res = run_batch(spark, spec, "sales", source, state, curated_root, cap=RUN_CAP, resolver=resolver, snapshot=0)
+        state = W.read_version(spark, state_root, run - 1)
+        res = run_batch(spark, spec, "sales", source, state, curated_root, cap=RUN_CAP, resolver=resolver)
         W.write_version(res.state, state_root, run)
-        if not res.loaded:
+        if res.drained:
             break
         if reached is not None and res.window.cutoff_us <= reached:
             raise RuntimeError(f"batch {run} made no progress beyond {reached}")
         reached = res.window.cutoff_us
-    W.compact(spark, curated_root, key="id", version="updated_at")
-    return W.read_final(spark, curated_root, key="id", version="updated_at")
+    return read_committed(spark, curated_root, W.read_version(spark, state_root, run), "sales", "orders")
 
 
 ORACLES_BATCH_RUNS = ORACLES["batch_runs"]
@@ -246,14 +246,51 @@ ORACLES_BATCH_RUNS = ORACLES["batch_runs"]
 @query("batch_run_full", sql=ORACLES_BATCH_RUNS)
 def batch_run_full(spark, sf):
     """One run with the reference's 10 M cap (the whole source in one batch
-    at these sizes), then compaction; equals ``batch_runs``."""
+    at these sizes); equals ``batch_runs``."""
     source = _run_source(spark, sf)
     curated_root = shared_dir(spark, "curated-full")
     res = run_batch(spark, _spec(), "sales", source, S.empty_state(spark), curated_root,
-                    resolver=lambda name, wh: table(spark, sf, name), snapshot=0)
+                    resolver=lambda name, wh: table(spark, sf, name))
     assert res.loaded
-    W.compact(spark, curated_root, key="id", version="updated_at")
-    return W.read_final(spark, curated_root, key="id", version="updated_at")
+    return read_committed(spark, curated_root, res.state, "sales", "orders")
+
+
+@query("run_log", sql=f"""
+    WITH src AS ({_RUN_SQL_SRC}),
+    cut AS (SELECT max(updated_at) AS c FROM (SELECT updated_at FROM src ORDER BY updated_at LIMIT {RUN_CAP})),
+    n AS (SELECT count(*) FILTER (WHERE updated_at <= c) AS first, count(*) FILTER (WHERE updated_at > c) AS rest,
+                 count(DISTINCT id) FILTER (WHERE updated_at <= c AND NOT deleted) AS kept FROM src, cut)
+    SELECT 'run-1' AS run_id, 'SUCCESS' AS status, first AS extracted, kept AS cleaned, CAST(1 AS BIGINT) AS curated_version,
+           false AS has_error, true AS timed FROM n
+    UNION ALL SELECT 'run-2', 'FAILED', NULL, NULL, NULL, true, true
+    UNION ALL SELECT 'run-3', 'SKIPPED', rest, 0, 1, false, true FROM n
+    UNION ALL SELECT 'run-4', 'IDLE', 0, NULL, 1, false, true""")
+def run_log(spark, sf):
+    """QA-1 / QA-2: the records of four runs over the whole source: a capped
+    batch that loads, one whose source breaks midway, the same rest with every
+    row deleted (cleaned to nothing: skipped, the curated version stays), and
+    one that finds no window."""
+    source = _run_source(spark, sf)
+    curated, state_root, log = shared_dir(spark, "curated-log"), shared_dir(spark, "state-log"), shared_dir(spark, "run-log")
+    broken = source.withColumn("o_totalprice", F.when(F.col("id") % 2 == 1, F.raise_error(F.lit("broken row")).cast("double"))
+                               .otherwise(F.col("o_totalprice")))
+    gone = source.withColumn("deleted", F.lit(True))
+    W.write_version(S.empty_state(spark), state_root, 0)
+    version = 0
+    for n, (rows, cap) in enumerate([(source, RUN_CAP), (broken, 10**12), (gone, 10**12), (gone, 10**12)], start=1):
+        state = W.read_version(spark, state_root, version)
+        try:
+            res = run_batch(spark, _spec(), "sales", rows, state, curated, cap=cap, log_root=log, run_id=f"run-{n}",
+                            resolver=lambda name, wh: table(spark, sf, name))
+        except Exception as e:  # noqa: BLE001 - the run that is meant to fail; its record tells the error
+            if n != 2 or "broken row" not in str(e):
+                raise
+            continue
+        version += 1
+        W.write_version(res.state, state_root, version)
+    return R.read(spark, log).select("run_id", "status", "extracted", "cleaned", "curated_version",
+                                     F.coalesce(F.contains("error", F.lit("broken row")), F.lit(False)).alias("has_error"),
+                                     (F.col("duration_s") > 0).alias("timed"))
 
 
 @query("landing_extract_transform", sql=f"""

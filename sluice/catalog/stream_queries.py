@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from sluice.catalog.registry import query, table
 from sluice.plans.spec import TableSpec
 from sluice.session import shared_dir
-from sluice.sources import landing as L
-from sluice.sources import warehouse as W
+from sluice.sources import curated as K
 from sluice.streaming.incremental import stream_landing_to_curated
 
 
@@ -20,7 +19,7 @@ from sluice.streaming.incremental import stream_landing_to_curated
 def stream_landing(spark, sf):
     """Events landed as five daily-range batches, streamed through the rule
     runner micro-batch by micro-batch (one landing file set per trigger),
-    appended as parts, read back FINAL (latest per user)."""
+    merged into the key buckets it touches (latest per user)."""
     e = table(spark, sf, "events").select(
         F.col("user_id").alias("id"), F.col("ts").alias("created_at"), F.col("ts").alias("updated_at"),
         F.col("event_type"), F.col("value"), F.col("event_id"),
@@ -37,4 +36,4 @@ def stream_landing(spark, sf):
     curated = shared_dir(spark, "stream-curated")
     stream_landing_to_curated(spark, landing, schema, spec, curated, shared_dir(spark, "stream-ckpt"),
                               max_files_per_trigger=8)
-    return W.read_final(spark, curated, key="id", version="updated_at")
+    return K.read(spark, curated)

@@ -1,6 +1,5 @@
 """Task failures during writes: a task that dies mid-write is retried and the
-written table holds every row exactly once (landing batch, curated part and
-compaction).  Runs in its own process because task retries need a
+written table holds every row exactly once (landing batch, curated merge).  Runs in its own process because task retries need a
 ``local[n, maxFailures]`` master, and a process has one SparkContext."""
 
 import os
@@ -18,7 +17,7 @@ SCRIPT = textwrap.dedent(r"""
     from pyspark.sql.functions import udf
     from sluice.session import ensure_checkpoint_dir, shared_dir
     from sluice.sources import landing as L
-    from sluice.sources import warehouse as W
+    from sluice.sources import curated as K
     from sluice.operators.merge import latest_per_key
 
     spark = (SparkSession.builder.master("local[4,3]").config("spark.ui.enabled", "false")
@@ -58,13 +57,11 @@ SCRIPT = textwrap.dedent(r"""
     assert back.count() == expected == back.select("event_id").distinct().count(), "landing"
 
     curated = shared_dir(spark, "r-curated")
-    sc.setJobGroup("part", "part write with a failing task")
-    W.append_part(spark, hurt, curated, 7, snapshot=0)
-    assert failed_tasks("part") >= 1, "no task failed"
-    assert W.read_parts(spark, curated).count() == expected, "part"
+    sc.setJobGroup("merge", "merge with a failing task")
+    K.merge(spark, hurt, curated, key="user_id", version="ts", buckets=4)
+    assert failed_tasks("merge") >= 1, "no task failed"
     want = sorted(tuple(r) for r in latest_per_key(e, key="user_id", version="ts").collect())
-    W.compact(spark, curated, key="user_id", version="ts")
-    got = sorted(tuple(r) for r in W.read_final(spark, curated, key="user_id", version="ts").collect())
+    got = sorted(tuple(r) for r in K.read(spark, curated).collect())
     assert got == want, "final"
     print("RESILIENT", expected)
 """)
