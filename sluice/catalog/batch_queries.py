@@ -190,3 +190,32 @@ def batch_gate(spark, sf):
     days = e.groupBy(F.to_date("ts").alias("batch_day")).agg(F.count(F.lit(1)).alias("batch_rows"))
     return days.select("batch_day", "batch_rows", (F.col("batch_rows") >= 350).alias("load_batch"),
                        (F.col("batch_rows") < 350).alias("clear_backfill"))
+
+
+def _drained(table_name: str, version: str, cap: int) -> str:
+    """The windows one after the other, each from the end of the last."""
+    return f"""
+    WITH RECURSIVE p AS (SELECT {version} AS v, sum(count(*)) OVER (ORDER BY {version}) AS upto FROM {table_name} GROUP BY 1),
+    t AS (SELECT max(upto) AS total FROM p),
+    w(before, upto) AS (
+        SELECT CAST(0 AS HUGEINT), (SELECT min(upto) FROM p, t WHERE upto >= least({cap}, total))
+        UNION ALL
+        SELECT w.upto, (SELECT min(p.upto) FROM p, t WHERE p.upto >= least(w.upto + {cap}, total))
+        FROM w, t WHERE w.upto < t.total)
+    SELECT '{table_name}' AS table_name, p.v AS cutoff, CAST(w.upto - w.before AS BIGINT) AS rows_read
+    FROM w JOIN p ON p.upto = w.upto"""
+
+
+@query("drain_cutoffs", sql=f"{_drained('orders', 'o_orderdate', 501)} UNION ALL SELECT * FROM ({_drained('events', 'ts', 333)})")
+def drain_cutoffs(spark, sf):
+    """SRC-1 / TK-1: every window of a drain of two tables, daily versions
+    with many ties and versions to the microsecond, from one scan of each."""
+    from sluice.operators.cutoffs import all_cutoffs
+
+    out = []
+    for name, version, cap in (("orders", "o_orderdate", 501), ("events", "ts", 333)):
+        df = table(spark, sf, name)
+        windows = all_cutoffs(df, B.micros_of(df, version), cap, ranges=24, fan=4)
+        cutoff = F.expr("timestampadd(MICROSECOND, cutoff_us, TIMESTAMP_NTZ '1970-01-01 00:00:00')")
+        out.append(windows.select(F.lit(name).alias("table_name"), cutoff.alias("cutoff"), F.col("rows").alias("rows_read")))
+    return out[0].unionByName(out[1])

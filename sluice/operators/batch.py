@@ -189,15 +189,16 @@ def resolve_window(
     return BatchWindow(version, start_us, cutoff, inclusive_start=(mode == "backfill"), rows=rows)
 
 
-def drain_windows(df: DataFrame, version: str = "updated_at", cap: int = REFERENCE_BATCH_CAP, fanout: int = DEFAULT_FANOUT) -> Iterator[BatchWindow]:
-    """Consecutive capped windows from the first version on, until the table is read."""
+def drain_windows(df: DataFrame, version: str = "updated_at", cap: int = REFERENCE_BATCH_CAP, ranges: int | None = None) -> Iterator[BatchWindow]:
+    """Consecutive capped windows from the first version on, until the table
+    is read.  All cutoffs come from one scan (``operators.cutoffs``); the
+    driver holds a number per window, as the loop over them does."""
+    from sluice.operators.cutoffs import all_cutoffs
+
     start_us = None
-    while True:
-        cutoff, rows = cap_cutoff_rows(df, version, start_us, cap, fanout)
-        if cutoff is None:
-            return
-        yield BatchWindow(version, start_us, cutoff, rows=rows)
-        start_us = cutoff
+    for row in all_cutoffs(df, micros_of(df, version), cap, ranges).orderBy("cutoff_us").collect():
+        yield BatchWindow(version, start_us, row["cutoff_us"], rows=row["rows"])
+        start_us = row["cutoff_us"]
 
 
 def batch_bounds(df: DataFrame, window: BatchWindow, id_col: str = "id") -> DataFrame:
