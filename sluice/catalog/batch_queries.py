@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sluice.catalog.registry import query, table
 from sluice.operators import batch as B
+from sluice.operators import late as LT
 
 ORDERS_START = "1996-01-01 00:00:00"
 ORDERS_CAP = 1003
@@ -171,12 +172,13 @@ def source_fixes(spark, sf):
 
 
 @query("audit_columns", sql="""
-    SELECT o_orderkey, true AS has_extracted_at, true AS has_extract_date FROM orders""")
+    SELECT o_orderkey, true AS same_day, true AS of_this_run FROM orders""")
 def audit_columns(spark, sf):
-    """PF-3: audit columns exist on every row (their values are run-time)."""
+    """PF-3: every row has the time of this run and that time's date."""
+    before = spark.sql("SELECT current_timestamp()").first()[0]
     a = B.add_audit_columns(table(spark, sf, "orders"))
-    return a.select("o_orderkey", F.col("extracted_at").isNotNull().alias("has_extracted_at"),
-                    F.col("extract_date").isNotNull().alias("has_extract_date"))
+    return a.select("o_orderkey", (F.to_date("extracted_at") == F.col("extract_date")).alias("same_day"),
+                    F.col("extracted_at").between(F.lit(before), F.current_timestamp()).alias("of_this_run"))
 
 
 @query("batch_gate", sql="""
@@ -185,11 +187,16 @@ def audit_columns(spark, sf):
     FROM events GROUP BY 1""")
 def batch_gate(spark, sf):
     """PF-2 + ST-9: per daily batch, the minimum-size gate (threshold 350 so
-    some days fail at every scale) and the backfill-completion flag."""
+    some days fail at every scale) and whether the batch ends the backfill."""
+    from sluice.operators import state as S
+
     e = table(spark, sf, "events")
     days = e.groupBy(F.to_date("ts").alias("batch_day")).agg(F.count(F.lit(1)).alias("batch_rows"))
-    return days.select("batch_day", "batch_rows", (F.col("batch_rows") >= 350).alias("load_batch"),
-                       (F.col("batch_rows") < 350).alias("clear_backfill"))
+    named = days.select(F.lit("events").alias("schema"), F.col("batch_day").cast("string").alias("table_name"), "batch_rows")
+    ended = S.completion_updates(named, 350).select(F.col("table_name").cast("date").alias("batch_day"), "remove_backfill")
+    return days.join(ended, "batch_day", "left").select(
+        "batch_day", "batch_rows", B.gate(F.col("batch_rows"), 350).alias("load_batch"),
+        F.coalesce("remove_backfill", F.lit(False)).alias("clear_backfill"))
 
 
 def _drained(table_name: str, version: str, cap: int) -> str:
@@ -219,3 +226,28 @@ def drain_cutoffs(spark, sf):
         cutoff = F.expr("timestampadd(MICROSECOND, cutoff_us, TIMESTAMP_NTZ '1970-01-01 00:00:00')")
         out.append(windows.select(F.lit(name).alias("table_name"), cutoff.alias("cutoff"), F.col("rows").alias("rows_read")))
     return out[0].unionByName(out[1])
+
+
+_BOOKMARK = "2024-01-20 12:00:00"
+_LATE = "event_id % 53 = 0 AND day(ts) IN (3, 4, 17, 25)"
+
+
+def _read_before(spark, sf):
+    """Key and version of the events that were there when the batches up to the bookmark ran."""
+    e = table(spark, sf, "events")
+    return e.where(F.expr(f"NOT ({_LATE}) AND ts <= TIMESTAMP_NTZ '{_BOOKMARK}'")).select("event_id", "ts")
+
+
+@query("late_rows", sql=f"SELECT * FROM events WHERE {_LATE} AND ts <= TIMESTAMP '{_BOOKMARK}'")
+def late_rows(spark, sf):
+    """SRC-2 / ST-8: events that came after the batches with versions at or
+    below the bookmark: found by checksums per day, read again by day."""
+    return LT.late_rows(table(spark, sf, "events"), _read_before(spark, sf), _BOOKMARK, "event_id", "ts")
+
+
+@query("late_buckets", sql=f"""
+    SELECT date_trunc('day', ts)::TIMESTAMP AS bucket, count(*) AS source_rows, count(*) FILTER (WHERE NOT ({_LATE})) AS read_rows
+    FROM events WHERE ts <= TIMESTAMP '{_BOOKMARK}' GROUP BY 1 HAVING count(*) FILTER (WHERE {_LATE}) > 0""")
+def late_buckets(spark, sf):
+    """The days whose source rows are not those that were read."""
+    return LT.differing_buckets(table(spark, sf, "events"), _read_before(spark, sf), _BOOKMARK, "event_id", "ts")

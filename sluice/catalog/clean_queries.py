@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from sluice.catalog import sqlx as X
 from sluice.catalog.dirty import dirty_customer, dirty_customer_sql
-from sluice.catalog.registry import query
+from sluice.catalog.registry import query, table
 from sluice.functions import cleaners as C
+from sluice.operators import numbering as N
 from sluice.plans.recipes import add_phone_columns
 
 D = dirty_customer_sql()
@@ -121,3 +122,30 @@ def clean_supplier_names(spark, sf):
 
     s = table(spark, sf, "supplier")
     return s.select("s_suppkey", C.clean_name("s_name").alias("s_name"), C.clean_location("s_name").alias("s_location"))
+
+
+# Numbers with and without prefixes, of several countries, too short and too long ones, from the customer's key.
+_NUMBER = """CASE id % 12 WHEN 0 THEN '+62 812-' || lpad(K, 7, '0') WHEN 1 THEN '0812' || lpad(K, 8, '1') WHEN 2 THEN '(021) ' || lpad(K, 7, '5')
+    WHEN 3 THEN '+65 6' || lpad(K, 7, '0') WHEN 4 THEN '0065 1800 ' || lpad(K, 7, '0') WHEN 5 THEN '+44 20 ' || lpad(K, 8, '7')
+    WHEN 6 THEN '+1 212 ' || lpad(K, 6, '5') WHEN 7 THEN '812/' || lpad(K, 5, '0') WHEN 8 THEN '+62 800 ' || lpad(K, 12, '0')
+    WHEN 9 THEN '+999 ' || lpad(K, 8, '0') WHEN 10 THEN 'abc' || K ELSE '0274.' || lpad(K, 6, '0') END"""
+_PLAN_SQL = ", ".join(str(row) for row in N.PLAN)
+
+
+@query("phone_numbering_plan", sql=f"""
+    WITH plan(prefix, region, kind, code_digits, least, most) AS (VALUES {_PLAN_SQL}),
+    d AS (SELECT c_custkey AS id, {_NUMBER.replace('id %', 'c_custkey %').replace('K', 'CAST(c_custkey AS VARCHAR)')} AS number FROM customer),
+    s AS (SELECT id, number, replace(replace(replace(replace(replace(replace(number, ' ', ''), '(', ''), ')', ''), '.', ''), '-', ''), '/', '') AS t FROM d),
+    e AS (SELECT id, number, CASE WHEN length(ltrim(t, '+')) = 0 OR length(translate(ltrim(t, '+'), '0123456789', '')) > 0 THEN NULL
+                                  WHEN t[1] = '+' THEN t[2:] WHEN t[1:2] = '00' AND t[3] <> '0' THEN t[3:]
+                                  WHEN t[1] = '0' THEN '62' || t[2:] WHEN t[1:2] = '62' THEN t ELSE '62' || t END AS e164 FROM s)
+    SELECT e.id, e.number, e.e164 AS phone_e164, p.region AS phone_region, p.kind AS phone_kind,
+           COALESCE(length(e.e164) - p.code_digits BETWEEN p.least AND p.most, false) AS phone_valid
+    FROM e LEFT JOIN plan p ON starts_with(e.e164, p.prefix)
+    QUALIFY row_number() OVER (PARTITION BY e.id ORDER BY length(p.prefix) DESC NULLS LAST) = 1""")
+def phone_numbering_plan(spark, sf):
+    """CL-2 / UD-1: each number's longest prefix in the numbering plan, its
+    region and kind, and whether its length is one the plan allows."""
+    text = _NUMBER.replace("id %", "c_custkey %").replace("K", "CAST(c_custkey AS STRING)")
+    d = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.expr(text).alias("number"))
+    return N.numbered(d, "number", N.plan(spark))

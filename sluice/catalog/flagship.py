@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from sluice.catalog.batch_queries import ORDERS_CAP, ORDERS_START
 from sluice.catalog.registry import query, table
 from sluice.operators import batch as B
 from sluice.operators.joins import enrich
@@ -13,19 +12,6 @@ KEEP = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate
         "customer__c_name", "customer__c_mktsegment"]
 
 
-@query("batch_enrich", sql=f"""
-    SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, o.o_totalprice, o.o_orderdate,
-           c.c_name AS customer__c_name, c.c_mktsegment AS customer__c_mktsegment
-    FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
-    WHERE o.o_orderdate > TIMESTAMP '{ORDERS_START}'
-      AND o.o_orderdate <= (SELECT max(o_orderdate) FROM (SELECT o_orderdate FROM orders
-          WHERE o_orderdate > TIMESTAMP '{ORDERS_START}' ORDER BY o_orderdate LIMIT {ORDERS_CAP}))""")
-def flagship(spark, sf):
-    orders = table(spark, sf, "orders")
-    window = B.resolve_window(orders, "o_orderdate", ORDERS_START, ORDERS_CAP)
-    return _enriched(spark, sf, window.apply(orders))
-
-
 def _enriched(spark, sf, rows):
     batch = latest_per_key(rows, key="o_orderkey", version="o_orderdate")
     enriched = enrich(batch, table(spark, sf, "customer"), "customer", "o_custkey", "c_custkey",
@@ -33,12 +19,16 @@ def _enriched(spark, sf, rows):
     return select_keep(enriched, KEEP)
 
 
-@query("batch_enrich_full", sql="""
+_WHOLE = """
     SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, o.o_totalprice, o.o_orderdate,
            c.c_name AS customer__c_name, c.c_mktsegment AS customer__c_mktsegment
     FROM (SELECT * FROM orders WHERE o_orderdate IS NOT NULL
           QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderdate DESC) = 1) o
-    LEFT JOIN customer c ON o.o_custkey = c.c_custkey""")
+    LEFT JOIN customer c ON o.o_custkey = c.c_custkey"""
+
+
+@query("batch_enrich", sql=_WHOLE)
+@query("batch_enrich_full", sql=_WHOLE)
 def flagship_full(spark, sf, cap=B.REFERENCE_BATCH_CAP):
     """The whole table: capped batches until the orders are drained, each
     deduplicated, enriched and stored; the latest version of a key that

@@ -13,58 +13,53 @@ _O = "o.o_orderkey, o.o_custkey, o.o_orderstatus, o.o_totalprice, o.o_orderdate,
 _C = "c.c_name AS customer__c_name, c.c_mktsegment AS customer__c_mktsegment"
 
 
-def _orders_customer(spark, sf, how):
-    return enrich(table(spark, sf, "orders"), table(spark, sf, "customer"), "customer", "o_custkey", "c_custkey",
-                  how=how, right_columns=["c_name", "c_mktsegment"])
+# Whole tables; the keys of every fifth customer and of every fourth customer's orders are moved, so both sides miss some.
+_C_KEY = "CASE WHEN c_custkey % 5 = 0 THEN -c_custkey ELSE c_custkey END"
+_O_KEY = "CASE WHEN o_custkey % 4 = 0 THEN -1 - o_custkey ELSE o_custkey END"
+_CMOVED = f"(SELECT *, {_C_KEY} AS c_key FROM customer)"
+_OMOVED = f"(SELECT * REPLACE ({_O_KEY} AS o_custkey) FROM orders)"
 
 
-def _cust_filtered(spark, sf):
-    """Customers with a positive balance: a right side that misses keys."""
-    return table(spark, sf, "customer").where(F.col("c_acctbal") > 0)
+def _customers(spark, sf):
+    return table(spark, sf, "customer").withColumn("c_key", F.expr(_C_KEY))
 
 
-_CPOS = "(SELECT * FROM customer WHERE c_acctbal > 0)"
+def _orders(spark, sf):
+    return table(spark, sf, "orders").withColumn("o_custkey", F.expr(_O_KEY))
 
 
-@query("enrich_inner", sql=f"SELECT {_O}, {_C} FROM orders o JOIN {_CPOS} c ON o.o_custkey = c.c_custkey")
-def enrich_inner(spark, sf):
-    return enrich(table(spark, sf, "orders"), _cust_filtered(spark, sf), "customer", "o_custkey", "c_custkey",
-                  how="inner", right_columns=["c_name", "c_mktsegment"])
+def _enriched(spark, sf, left, how):
+    return enrich(left, _customers(spark, sf), "customer", "o_custkey", "c_key", how=how, right_columns=["c_name", "c_mktsegment"])
 
 
-@query("enrich_left", sql=f"SELECT {_O}, {_C} FROM orders o LEFT JOIN {_CPOS} c ON o.o_custkey = c.c_custkey")
-def enrich_left(spark, sf):
-    return enrich(table(spark, sf, "orders"), _cust_filtered(spark, sf), "customer", "o_custkey", "c_custkey",
-                  how="left", right_columns=["c_name", "c_mktsegment"])
+@query("enrich_inner", sql=f"SELECT {_O}, {_C} FROM orders o JOIN {_CMOVED} c ON o.o_custkey = c.c_key")
+def enrich_inner(spark, sf):
+    return _enriched(spark, sf, table(spark, sf, "orders"), "inner")
 
 
-_OPOS = "(SELECT * FROM orders WHERE o_orderstatus = 'F')"
+@query("enrich_left", sql=f"SELECT {_O}, {_C} FROM orders o LEFT JOIN {_CMOVED} c ON o.o_custkey = c.c_key")
+def enrich_left(spark, sf):
+    return _enriched(spark, sf, table(spark, sf, "orders"), "left")
 
 
-@query("enrich_right", sql=f"SELECT {_O}, {_C} FROM {_OPOS} o RIGHT JOIN customer c ON o.o_custkey = c.c_custkey")
+@query("enrich_right", sql=f"SELECT {_O}, {_C} FROM {_OMOVED} o RIGHT JOIN {_CMOVED} c ON o.o_custkey = c.c_key")
 def enrich_right(spark, sf):
-    left = table(spark, sf, "orders").where(F.col("o_orderstatus") == "F")
-    return enrich(left, table(spark, sf, "customer"), "customer", "o_custkey", "c_custkey", how="right",
-                  right_columns=["c_name", "c_mktsegment"])
+    return _enriched(spark, sf, _orders(spark, sf), "right")
 
 
-@query("enrich_full", sql=f"SELECT {_O}, {_C} FROM {_OPOS} o FULL JOIN {_CPOS} c ON o.o_custkey = c.c_custkey")
+@query("enrich_full", sql=f"SELECT {_O}, {_C} FROM {_OMOVED} o FULL JOIN {_CMOVED} c ON o.o_custkey = c.c_key")
 def enrich_full(spark, sf):
-    left = table(spark, sf, "orders").where(F.col("o_orderstatus") == "F")
-    return enrich(left, _cust_filtered(spark, sf), "customer", "o_custkey", "c_custkey", how="full",
-                  right_columns=["c_name", "c_mktsegment"])
+    return _enriched(spark, sf, _orders(spark, sf), "full")
 
 
-@query("enrich_semi", sql=f"SELECT * FROM customer c WHERE EXISTS (SELECT 1 FROM {_OPOS} o WHERE o.o_custkey = c.c_custkey)")
+@query("enrich_semi", sql=f"SELECT * FROM customer c WHERE EXISTS (SELECT 1 FROM {_OMOVED} o WHERE o.o_custkey = c.c_custkey)")
 def enrich_semi(spark, sf):
-    right = table(spark, sf, "orders").where(F.col("o_orderstatus") == "F")
-    return enrich(table(spark, sf, "customer"), right, "orders", "c_custkey", "o_custkey", how="left_semi")
+    return enrich(table(spark, sf, "customer"), _orders(spark, sf), "orders", "c_custkey", "o_custkey", how="left_semi")
 
 
-@query("enrich_anti", sql=f"SELECT * FROM customer c WHERE NOT EXISTS (SELECT 1 FROM {_OPOS} o WHERE o.o_custkey = c.c_custkey)")
+@query("enrich_anti", sql=f"SELECT * FROM customer c WHERE NOT EXISTS (SELECT 1 FROM {_OMOVED} o WHERE o.o_custkey = c.c_custkey)")
 def enrich_anti(spark, sf):
-    right = table(spark, sf, "orders").where(F.col("o_orderstatus") == "F")
-    return enrich(table(spark, sf, "customer"), right, "orders", "c_custkey", "o_custkey", how="left_anti")
+    return enrich(table(spark, sf, "customer"), _orders(spark, sf), "orders", "c_custkey", "o_custkey", how="left_anti")
 
 
 @query("enrich_filter_rows", sql="""
@@ -136,3 +131,28 @@ def enrich_hot_key(spark, sf):
     left = table(spark, sf, "lineitem").selectExpr("l_orderkey", "l_linenumber", "l_quantity", f"{_HOT} AS order_ref")
     return enrich(left, table(spark, sf, "orders"), "orders", "order_ref", "o_orderkey", how="left",
                   right_columns=["o_orderstatus", "o_orderdate"], salt_buckets=16, hot_key_rows=1000)
+
+
+_HOT_OR_NONE = "CASE WHEN l_orderkey % 3 = 0 THEN 1 WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_orderkey END"
+_HOT_SQL = f"""
+    SELECT l.l_orderkey, l.l_linenumber, l.order_ref, o.o_orderkey AS orders__o_orderkey, o.o_orderstatus AS orders__o_orderstatus
+    FROM (SELECT l_orderkey, l_linenumber, {_HOT_OR_NONE} AS order_ref FROM lineitem) l
+    {{}} JOIN orders o ON l.order_ref = o.o_orderkey"""
+
+
+def _hot_outer(spark, sf, how):
+    left = table(spark, sf, "lineitem").selectExpr("l_orderkey", "l_linenumber", f"{_HOT_OR_NONE} AS order_ref")
+    return enrich(left, table(spark, sf, "orders"), "orders", "order_ref", "o_orderkey", how=how,
+                  right_columns=["o_orderkey", "o_orderstatus"], salt_buckets=16, hot_key_rows=1000)
+
+
+@query("enrich_hot_key_right", sql=_HOT_SQL.format("RIGHT"))
+def enrich_hot_key_right(spark, sf):
+    """JN-1, right join with a hot key and NULL keys: salted inner join and the orders that no item refers to."""
+    return _hot_outer(spark, sf, "right")
+
+
+@query("enrich_hot_key_full", sql=_HOT_SQL.format("FULL"))
+def enrich_hot_key_full(spark, sf):
+    """JN-1, full join with a hot key and NULL keys: salted left join and the orders that no item refers to."""
+    return _hot_outer(spark, sf, "full")

@@ -218,9 +218,31 @@ _DECL = {"id": "bigint", "latitude": "float", "longitude": "float", "customer_ni
     UNION ALL
     SELECT 'c_acctbal', 'ok', 'decimal(6,2)', count(*) FILTER (WHERE c_acctbal IS NOT NULL AND TRY_CAST(c_acctbal AS DECIMAL(6,2)) IS NULL) FROM customer
     UNION ALL
-    SELECT 'extra_' || n, 'extra', NULL, NULL FROM (VALUES ('x')) v(n) WHERE false""")
+    SELECT 'city', 'extra', NULL, NULL""")
 def conform_violations(spark, sf):
     """QA-3: per declared column, how many values fail the declared type;
     missing declared columns and undeclared extra columns are listed."""
-    d = dirty_customer(spark, sf).select("id", "latitude", "longitude", "customer_nik", "deleted", "c_acctbal")
+    d = dirty_customer(spark, sf).select("id", "latitude", "longitude", "customer_nik", "deleted", "c_acctbal", "city")
     return M.conform_violations(d, _DECL)
+
+
+@query("landing_eligible_batches", sql="""
+    SELECT event_id, ts, user_id, event_type, value, event_type || '-' || CAST(day(ts) % 6 AS VARCHAR) AS batch_id
+    FROM events WHERE event_type NOT IN ('click', 'error')""")
+def landing_eligible_batches(spark, sf):
+    """SRC-5 with ST-7: of all landed batches those of the tables that may run
+    incrementally now ('click' is in backfill, 'error' depends on it); the ids
+    choose the folders that are read."""
+    from sluice.operators import state as S
+
+    e = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value", F.concat_ws(
+        "-", "event_type", (F.dayofmonth("ts") % 6).cast("string")).alias("batch_id"))
+    root = shared_dir(spark, "landing-eligible")
+    e.write.partitionBy("batch_id").parquet(root)
+    kinds = e.select(F.col("event_type").alias("table_name")).distinct()
+    pairs = kinds.select(F.lit("events").alias("schema"), "table_name")
+    state = S.seed_state(S.empty_state(spark), pairs).withColumn("backfill", F.col("table_name") == "click")
+    registry = kinds.withColumn("dependent_table", F.when(F.col("table_name") == "error", F.lit("click")))
+    eligible = S.eligible_tables(pairs, state, registry, "incremental")
+    batches = e.select("batch_id", F.col("event_type").alias("table_name")).distinct().join(eligible, "table_name")
+    return L.read_batches(spark, root, batches)

@@ -50,11 +50,13 @@ def reconcile_summary(spark, sf):
 
 @query("orphans", sql="""
     SELECT l.l_orderkey, count(*) AS orphan_items FROM lineitem l
-    WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderstatus <> 'P')
+    WHERE NOT EXISTS (SELECT 1 FROM (SELECT CASE WHEN o_orderkey % 6 = 0 THEN -o_orderkey ELSE o_orderkey END AS k FROM orders) o
+                      WHERE o.k = l.l_orderkey)
     GROUP BY 1""")
 def orphans(spark, sf):
-    """Items whose invoice is missing from the (non-pending) invoice table."""
-    heads = table(spark, sf, "orders").where(F.col("o_orderstatus") != "P")
+    """Items whose invoice is missing; the keys of every sixth invoice are moved."""
+    moved = F.expr("CASE WHEN o_orderkey % 6 = 0 THEN -o_orderkey ELSE o_orderkey END")
+    heads = table(spark, sf, "orders").withColumn("o_orderkey", moved)
     return Q.orphans(table(spark, sf, "lineitem"), heads, "l_orderkey", "o_orderkey").groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("orphan_items"))
 
@@ -293,36 +295,14 @@ def run_log(spark, sf):
                                      (F.col("duration_s") > 0).alias("timed"))
 
 
-@query("landing_extract_transform", sql=f"""
-    WITH src AS ({_RUN_SQL_SRC}),
-    w AS (SELECT * FROM src WHERE updated_at <= (SELECT max(updated_at) FROM (SELECT updated_at FROM src
-          ORDER BY updated_at LIMIT {RUN_CAP}))),
-    latest AS (SELECT * FROM w WHERE deleted = false
-               QUALIFY row_number() OVER (PARTITION BY id ORDER BY updated_at DESC) = 1)
-    SELECT l.id, l.o_orderstatus, TRY_CAST(round(CAST(l.o_totalprice AS DECIMAL(38,10)), 1) AS DECIMAL(10,1)) AS o_totalprice,
-           upper(trim(l.o_orderpriority)) AS priority, c.c_mktsegment AS segment, l.created_at, l.updated_at
-    FROM latest l LEFT JOIN customer c ON l.o_custkey = c.c_custkey""")
-def landing_extract_transform(spark, sf):
-    """E2 + E3 with DX-10: the first capped window is extracted to landing,
-    partitioned by the registry's ``partition_by`` (order status), then read
-    back and transformed (dedup, join, rules, declared schema)."""
-    from sluice.operators import batch as B
-    from sluice.plans.run import extract_batch, transform_batch
-
-    spec = _spec()
-    spec.partition_by = "o_orderstatus"
-    source = _run_source(spark, sf)
-    window = B.resolve_window(source, "updated_at", None, RUN_CAP)
-    landing = shared_dir(spark, "landing-orders")
-    extract_batch(source, spec, window, landing, batch_id=1)
-    return transform_batch(spark, spec, landing, 1, resolver=lambda name, wh: table(spark, sf, name))
-
-
+@query("landing_extract_transform", sql=ORACLES_BATCH_RUNS)
 @query("landing_extract_transform_full", sql=ORACLES_BATCH_RUNS)
 def landing_extract_transform_full(spark, sf, cap=B.REFERENCE_BATCH_CAP):
-    """``landing_extract_transform`` over the whole source: every capped
-    window is landed and transformed until the source is drained; the latest
-    version of a key that several batches hold is kept."""
+    """E2 + E3 with DX-10 over the whole source: every capped window is
+    extracted to landing, partitioned by the registry's ``partition_by``
+    (order status), read back and transformed (dedup, join, rules, declared
+    schema) until the source is drained; the latest version of a key that
+    several batches hold is kept."""
     from sluice.operators.merge import latest_per_key
     from sluice.plans.run import extract_batch, transform_batch
 

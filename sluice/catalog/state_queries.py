@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sluice.catalog.registry import query, table
 from sluice.operators import state as S
+from sluice.session import shared_dir
 
 _REG_SQL = """reg AS (
   SELECT 'supplier_' || CAST(s.s_suppkey AS VARCHAR) AS table_name, lower(r.r_name) AS rschema, s.s_suppkey AS k,
@@ -50,6 +51,13 @@ def registry(spark, sf):
         F.lower("r_name").alias("rschema"), k.alias("k")))
 
 
+def kept(spark, df, name):
+    """Written once and read back, for a frame that a query uses several times."""
+    path = shared_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def old_state(spark, sf, reg=None):
     reg = registry(spark, sf) if reg is None else reg
     k = F.col("k")
@@ -105,18 +113,22 @@ def _eligible_sql(flag: str) -> str:
     WHERE NOT (g.dependent_table IS NOT NULL AND COALESCE(d.backfill, false)) AND s.backfill = {flag}"""
 
 
+def _eligible(spark, sf, mode):
+    reg = kept(spark, registry(spark, sf), "registry")
+    state = kept(spark, seeded(spark, sf, reg), "state")
+    return S.eligible_tables(S.ready_pairs(reg), state, reg, mode)
+
+
 @query("eligible_backfill", sql=_eligible_sql("true"))
 def eligible_backfill(spark, sf):
     """ST-7 / JN-3 in backfill mode."""
-    reg = registry(spark, sf)
-    return S.eligible_tables(S.ready_pairs(reg), seeded(spark, sf, reg), reg, "backfill")
+    return _eligible(spark, sf, "backfill")
 
 
 @query("eligible_incremental", sql=_eligible_sql("false"))
 def eligible_incremental(spark, sf):
     """ST-7 / JN-3 in incremental mode."""
-    reg = registry(spark, sf)
-    return S.eligible_tables(S.ready_pairs(reg), seeded(spark, sf, reg), reg, "incremental")
+    return _eligible(spark, sf, "incremental")
 
 
 _UPD_SQL = """upd AS (
@@ -161,19 +173,18 @@ def state_update(spark, sf):
 
 
 @query("watermark_advance", sql="""
-    WITH st AS (SELECT DISTINCT 'events' AS schema, event_type AS table_name FROM events),
-    mx AS (SELECT event_type, max(ts) AS m FROM events WHERE ts >= TIMESTAMP '2024-01-25' AND event_type <> 'error' GROUP BY 1)
-    SELECT st.schema, st.table_name, mx.m AS last_extracted_time,
+    WITH st AS (SELECT DISTINCT event_type AS table_name FROM events UNION ALL SELECT DISTINCT event_type || '_archive' FROM events),
+    mx AS (SELECT event_type, max(ts) AS m FROM events GROUP BY 1)
+    SELECT 'events' AS schema, st.table_name, mx.m AS last_extracted_time,
            TIMESTAMP '2024-02-01 00:00:00' AS last_successful_load_time, 'idle' AS etl_status, true AS backfill,
            'v1.0' AS etl_version
     FROM st LEFT JOIN mx ON st.table_name = mx.event_type""")
 def watermark_advance(spark, sf):
     """ST-8 (+ AG-3): each table's bookmark becomes its batch's max version;
-    a table whose batch is empty only moves its load time."""
+    a table whose batch is empty (the archives) only moves its load time."""
     e = table(spark, sf, "events")
-    state = S.seed_state(S.empty_state(spark), e.select(F.lit("events").alias("schema"),
-                                                         F.col("event_type").alias("table_name")))
-    batch = e.where((F.col("ts") >= F.expr("TIMESTAMP_NTZ '2024-01-25 00:00:00'")) & (F.col("event_type") != "error"))
-    maxima = batch.groupBy(F.col("event_type").alias("table_name")).agg(F.max("ts").alias("max_version"))
+    maxima = kept(spark, e.groupBy(F.col("event_type").alias("table_name")).agg(F.max("ts").alias("max_version")), "maxima")
+    names = maxima.select(F.explode(F.array("table_name", F.concat("table_name", F.lit("_archive")))).alias("table_name"))
+    state = S.seed_state(S.empty_state(spark), names.select(F.lit("events").alias("schema"), "table_name"))
     per_table = state.select("schema", "table_name").join(maxima, "table_name", "left")
     return S.update_state(state, S.watermark_updates(per_table, "2024-02-01 00:00:00"))

@@ -263,6 +263,6 @@ def source_fixes(
     return out
 
 
-def gate(batch_rows: int, min_rows: int = 1) -> bool:
-    """PF-2: whether a batch is big enough to load (reference threshold 100)."""
+def gate(batch_rows, min_rows: int = 1):
+    """PF-2: whether a batch is big enough to load (reference threshold 100); a number or a column."""
     return batch_rows >= min_rows

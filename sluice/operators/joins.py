@@ -25,7 +25,9 @@ _HOWS = {
 _FILTERING = {"semi", "leftsemi", "left_semi", "anti", "leftanti", "left_anti"}
 
 
-_SALTABLE = {"inner", "left", "leftouter", "left_outer", "semi", "leftsemi", "left_semi", "anti", "leftanti", "left_anti"}
+#: Joins that keep unmatched right rows, and the join that they are without those.
+_WITHOUT_RIGHT = {**dict.fromkeys(("right", "rightouter", "right_outer"), "inner"),
+                  **dict.fromkeys(("outer", "full", "fullouter", "full_outer"), "left")}
 _SALT = "__sluice_salt"
 #: Keys that are salted at most; any other has at most this share (1 / HOT_KEYS) of the rows.
 HOT_KEYS = 10_000
@@ -44,7 +46,9 @@ def _salted(left: DataFrame, right: DataFrame, lkeys, rkeys, how: str, buckets:
     salts, the right rows of hot keys are replicated once per salt, all
     other rows keep salt 0.  Every left row meets exactly the right rows it
     would meet unsalted, so the result is the plain join's, for inner / left
-    / semi / anti joins.
+    / semi / anti joins.  Right and full joins are the salted inner or left
+    join and, once each, the right rows that meet nothing: an anti join
+    against the distinct left keys, which a hot key enters once.
 
     The salt is a hash of the row and its input partition: rows that are
     the same are spread too, and a retried task salts them as before.  Rows
@@ -65,9 +69,15 @@ def _salted(left: DataFrame, right: DataFrame, lkeys, rkeys, how: str, buckets:
     cond = ls[_SALT] == rs[_SALT]
     for lk, rk in zip(lkeys, rkeys):
         cond = cond & (ls[lk] == rs[rk])
-    out = ls.join(rs, cond, how)
+    out = ls.join(rs, cond, _WITHOUT_RIGHT.get(how, how))
     keep = [ls[c] for c in left.columns] + ([] if how in _FILTERING else [rs[c] for c in right.columns])
-    return out.select(*keep)
+    out = out.select(*keep)
+    if how not in _WITHOUT_RIGHT:
+        return out
+    met = left.select(*[F.col(lk).alias(f"__met_{i}") for i, lk in enumerate(lkeys)]).dropna().distinct()
+    alone = right.join(met, reduce(lambda a, b: a & b, [right[rk] == met[f"__met_{i}"] for i, rk in enumerate(rkeys)]), "left_anti")
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in left.schema.fields]
+    return out.unionAll(alone.select(*nothing, *[F.col(c) for c in right.columns]))
 
 
 def prefixed(right: DataFrame, name: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -115,8 +125,6 @@ def enrich(
     needed = rkeys + wanted + list(filter_rows.values()) + list(replace_columns.values())
     r = prefixed(right, right_name, needed)
     if salt_buckets and salt_buckets > 1:
-        if how not in _SALTABLE:
-            raise ValueError("salting is exact only for inner, left, semi and anti joins")
         joined = _salted(left, r, lkeys, [f"{right_name}{SEP}{k}" for k in rkeys], how, salt_buckets, hot_key_rows)
     else:
         cond = None
@@ -128,8 +136,10 @@ def enrich(
         joined = joined.where(F.col(lc) == F.col(f"{right_name}{SEP}{rc}"))
     if how in _FILTERING:
         return joined
+    # a union gives the left columns new identities
+    of_left = F.col if salt_buckets and salt_buckets > 1 and how in _WITHOUT_RIGHT else left.__getitem__
     out = [
-        (F.coalesce(F.col(f"{right_name}{SEP}{replace_columns[c]}"), left[c]).alias(c) if c in replace_columns else left[c])
+        (F.coalesce(F.col(f"{right_name}{SEP}{replace_columns[c]}"), of_left(c)).alias(c) if c in replace_columns else of_left(c))
         for c in left.columns
     ]
     out += [F.col(f"{right_name}{SEP}{c}") for c in wanted]

@@ -77,6 +77,24 @@ def read_landing(
     return df.drop(_FOLDER)
 
 
+#: Batches up to which their ids are broadcast.
+BROADCAST_BATCHES = 100_000
+
+
+def read_batches(spark: SparkSession, root: str, batches: DataFrame) -> DataFrame:
+    """SRC-5 for the batches that a query chooses: the landed rows whose
+    ``batch_id`` is in ``batches``.  The ids are broadcast after their number
+    is checked, and dynamic partition pruning lets them choose the folders
+    that are scanned; more ids are joined without."""
+    landed = spark.read.parquet(root)
+    kind = landed.schema["batch_id"].dataType
+    # the condition holds for any id; dynamic pruning asks for a filter on the choosing side
+    ids = batches.select(F.col("batch_id").cast(kind).alias("batch_id")).where(F.col("batch_id").cast("string") != "").distinct()
+    if ids.limit(BROADCAST_BATCHES + 1).count() <= BROADCAST_BATCHES:
+        ids = F.broadcast(ids)
+    return landed.join(ids, "batch_id", "left_semi").drop(_FOLDER)
+
+
 def reset(df_schema_source: DataFrame, path: str) -> None:
     """SNK-5 / SNK-6: replace a landing or staged table with an empty one
     of the same schema."""
