@@ -78,53 +78,54 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BASE = 0x5851F42D4C957F2D  # odd: has an inverse modulo 2**64
-_INVERSE = pow(_BASE, -1, 1 << 64)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    if n:
-        out[0] = 1
-    with np.errstate(over="ignore"):
-        return np.multiply.accumulate(out)
-
-
+#: Two primes below 2**31, so that products fit 64 bits, and a base for each: a hash is a polynomial modulo both.
+_PRIMES = (2147483647, 2147483629)
+_BASES = (1103515245, 1220703125)
 _POWERS: dict[int, np.ndarray] = {}
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    have = _POWERS.get(base)
+def _powers(base: int, prime: int, n: int) -> np.ndarray:
+    """base**i modulo prime for i < n; a worker keeps them up to four passes' length."""
+    have = _POWERS.get((base, prime))
     if have is None or len(have) < n:
-        have = _powers(base, max(n, 2 * PASS_BYTES))
+        have = np.ones(max(n, 2 * PASS_BYTES), np.uint32)
+        done = 1
+        while done < len(have):
+            more = min(done, len(have) - done)
+            have[done:done + more] = have[:more].astype(np.uint64) * np.uint64(pow(base, done, prime)) % np.uint64(prime)
+            done += more
         if n <= 4 * PASS_BYTES:
-            _POWERS[base] = have
+            _POWERS[base, prime] = have
     return have[:n]
 
 
-def gram_hashes(data: np.ndarray, q: int) -> np.ndarray:
-    """Hash of data[i:i+q] for every i: prefix sums of a polynomial modulo 2**64, then a finaliser."""
-    n = len(data)
-    if n < q:
-        return np.empty(0, np.uint64)
-    with np.errstate(over="ignore"):
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(_BASE, n), out=sums[1:])
-        return mix((sums[q:] - sums[:-q]) * powers(_INVERSE, n - q + 1))
-
-
 def prefix_sums(data: np.ndarray) -> np.ndarray:
+    """A row per prime: sums of (data[i] + 1) * base**i, not reduced, so that differences of them are exact."""
     n = len(data)
-    with np.errstate(over="ignore"):
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(_BASE, n), out=sums[1:])
+    sums = np.zeros((len(_PRIMES), n + 1), np.uint64)
+    values = data.astype(np.uint64) + np.uint64(1)
+    wide = n * ((np.iinfo(data.dtype).max + 1) << 31) >= 1 << 64
+    for row, base, prime in zip(sums, _BASES, _PRIMES):
+        terms = values * _powers(base, prime, n)
+        np.cumsum(terms % np.uint64(prime) if wide else terms, out=row[1:])
     return sums
 
 
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, sums: np.ndarray | None = None) -> np.ndarray:
     """Hash of data[start:end] for each pair of offsets; ``sums`` are the prefix sums if they are at hand."""
-    n = len(data)
     sums = prefix_sums(data) if sums is None else sums
+    both = []
+    for row, base, prime in zip(sums, _BASES, _PRIMES):
+        back = _powers(pow(base, -1, prime), prime, len(data) + 1)[start]
+        both.append((row[end] - row[start]) % np.uint64(prime) * back % np.uint64(prime))
     with np.errstate(over="ignore"):
-        body = (sums[end] - sums[start]) * powers(_INVERSE, n + 1)[start]
-        return mix(body + (end - start).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+        return mix(mix(both[0] << np.uint64(31) ^ both[1]) + (end - start).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+
+
+def gram_hashes(data: np.ndarray, q: int) -> np.ndarray:
+    """Hash of data[i:i+q] for every i."""
+    n = len(data)
+    if n < q:
+        return np.empty(0, np.uint64)
+    at = np.arange(n - q + 1)
+    return span_hashes(data, at, at + q)

@@ -341,9 +341,10 @@ def one_of_each(docs: DataFrame, words: int = 5, t: int = 80) -> DataFrame:
     """
     g = stored(_grouped(docs.where("doc_id is not null"), words, t).select("doc_id", "body", "n", "root"), "grouped")
     first = g.where("n > 0").groupBy("root").agg(F.min(F.struct("doc_id", "body")).alias("first")).select("first.*")
-    keep = first.unionByName(g.where("n = 0").select("doc_id", "body").distinct()).select(
-        F.col("doc_id").alias("_id"), F.col("body").alias("_body"))
-    rows = docs.withColumn("_text", F.xxhash64(F.col("text").cast("string")))
-    kept = rows.join(keep, (F.col("doc_id").cast("long") == F.col("_id")) & (F.col("_text") == F.col("_body")), "left_semi")
-    one = kept.groupBy("doc_id", "_text").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row"))
-    return one.select("row.*").unionByName(docs.where("doc_id is null"))
+    keep = first.unionByName(g.where("n = 0").select("doc_id", "body").distinct())
+    # the user's row is one column, so its names meet no others
+    rows = docs.where("doc_id is not null").select(F.struct(*docs.columns).alias("row")).select(
+        F.col("row.doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("row.text").cast("string")).alias("body"), "row")
+    kept = rows.join(keep, (rows.doc_id == keep.doc_id) & (rows.body.eqNullSafe(keep.body)), "left_semi")
+    one = kept.groupBy("doc_id", "body").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return one.select("row.*").unionAll(docs.where("doc_id is null"))

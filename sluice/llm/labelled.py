@@ -23,6 +23,7 @@ def training_ids(labels: DataFrame, column: str, folds: int, held: int, per_clas
 
 
 def training_texts(docs: DataFrame, labels: DataFrame, column: str, folds: int, held: int, per_class: int) -> DataFrame:
-    """(text, label): the sample's ids are at most 2 * per_class rows, a proven bound for the broadcast."""
+    """(text, label) of at most 2 * per_class rows: the sample's ids are that few, a proven bound for the broadcast,
+    and an id that several rows share gives one text, the smallest, before anything is collected."""
     ids = training_ids(labels, column, folds, held, per_class)
-    return texts(docs).join(F.broadcast(ids), "doc_id").select("text", "label")
+    return texts(docs).join(F.broadcast(ids), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("text", "label")

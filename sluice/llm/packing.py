@@ -114,24 +114,43 @@ class WordEncoder:
         fresh = np.concatenate(([True], hashes[1:] != hashes[:-1]))
         inverse = np.empty(len(order), np.int64)
         inverse[order] = np.cumsum(fresh) - 1
-        distinct, sample = hashes[fresh], order[fresh]
-        at = np.searchsorted(self.known, distinct)
-        new = np.flatnonzero(self.known[np.minimum(at, len(self.known) - 1)] != distinct) if len(self.known) else np.arange(len(distinct))
+        sample = order[fresh]
+        # words of one hash are told apart by their units
+        other = self._unlike(data, start, end, sample[inverse])
+        more: dict[bytes, int] = {}
+        for w in other:
+            inverse[w] = more.setdefault(data[start[w]:end[w]].tobytes(), len(sample) + len(more))
+        if more:
+            sample = np.concatenate((sample, [other[np.flatnonzero(inverse[other] == i)[0]] for i in more.values()]))
+        names = [data[a:b].tobytes() for a, b in zip(start[sample].tolist(), end[sample].tolist())]
+        new = np.array([i for i, name in enumerate(names) if name not in self.known], np.int64)
         if len(new):
             if len(self.known) + len(new) > KEPT_WORDS:
                 self._forget()
-                new = np.arange(len(distinct))
+                new = np.arange(len(names))
             pool, first = self._merge_words(data, start[sample[new]], end[sample[new]])
-            where = np.searchsorted(self.known, distinct[new])
-            self.known = np.insert(self.known, where, distinct[new])
-            self.at = np.insert(self.at, where, first[:-1] + len(self.pool))
-            self.count = np.insert(self.count, where, np.diff(first))
+            self.known.update(zip([names[i] for i in new], range(len(self.at), len(self.at) + len(new))))
+            self.at = np.concatenate((self.at, first[:-1] + len(self.pool)))
+            self.count = np.concatenate((self.count, np.diff(first)))
             self.pool = np.concatenate((self.pool, pool))
-        at = np.searchsorted(self.known, distinct)
+        at = np.fromiter((self.known[name] for name in names), np.int64, len(names))
         return self.pool, self.at[at], self.count[at], inverse
 
+    @staticmethod
+    def _unlike(data, start, end, like) -> np.ndarray:
+        """The words that are not, unit by unit, the word that they are said to be."""
+        size = end - start
+        same = size == end[like] - start[like]
+        pick = np.flatnonzero(same)
+        size = size[pick]
+        inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        off = data[np.repeat(start[pick], size) + inner] != data[np.repeat(start[like[pick]], size) + inner]
+        same[pick[np.repeat(np.arange(len(pick)), size)[off]]] = False
+        return np.flatnonzero(~same)
+
     def _forget(self) -> None:
-        self.known, self.at, self.count = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.known: dict[bytes, int] = {}
+        self.at, self.count = np.empty(0, np.int64), np.empty(0, np.int64)
         self.pool = np.empty(0, np.uint32)
 
     def _merge_words(self, data, s, end):

@@ -218,19 +218,20 @@ def redacted(docs: DataFrame, **how) -> DataFrame:
 
     Only the texts that have spans are joined with them; n_chars, where there is such a column, follows the text.
     """
-    s = spans(docs, **how).where(F.size("spans") > 0).select(
-        F.col("doc_id").alias("_id"), F.col("body").alias("_body"), F.col("spans").alias("_spans")).distinct()
-    d = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    both = d.join(s, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_body")), "left")
+    s = spans(docs, **how).where(F.size("spans") > 0).select("doc_id", "body", "spans").distinct()
+    # the user's row is one column, so its names meet no others
+    d = docs.select(F.struct(*docs.columns).alias("row")).select(
+        "row", F.col("row.doc_id").cast("long").alias("own_id"), F.coalesce(F.col("row.text").cast("string"), F.lit("")).alias("own_text"))
+    d = d.withColumn("own_body", F.xxhash64("own_text"))
+    both = d.join(s, F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_body") == F.col("body")), "left")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     # overlapping spans: what an earlier one covers is not repeated
-    cut = F.aggregate("_spans", start, lambda acc, x: F.when(x["start"] < acc["at"], F.struct(
+    cut = F.aggregate("spans", start, lambda acc, x: F.when(x["start"] < acc["at"], F.struct(
         F.greatest(acc["at"], x["end"]).alias("at"), acc["out"].alias("out"))).otherwise(F.struct(
-            x["end"].alias("at"), F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, x["start"] - acc["at"]),
+            x["end"].alias("at"), F.concat(acc["out"], F.substring(F.col("own_text"), acc["at"] + 1, x["start"] - acc["at"]),
                                            F.lit("["), F.upper(x["kind"]), F.lit("]")).alias("out"))))
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(
-        F.concat(cut["out"], F.substring(F.col("text"), cut["at"] + 1, F.length("text"))))
-    out = both.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return out.select(docs.columns)
+    changed = F.col("spans").isNotNull()
+    both = both.withColumn("new_text", F.when(changed, F.concat(cut["out"], F.substring(F.col("own_text"), cut["at"] + 1, F.length("own_text")))))
+    given = {"text": F.col("new_text"), "n_chars": F.length("new_text").cast("long")}
+    return both.select(*[(F.when(changed, given[c]).otherwise(F.col(f"row.`{c}`")) if c in given else F.col(f"row.`{c}`")).alias(c)
+                         for c in docs.columns])
