@@ -88,7 +88,7 @@ def _powers(base: int, prime: int, n: int) -> np.ndarray:
     """base**i modulo prime for i < n; a worker keeps them up to four passes' length."""
     have = _POWERS.get((base, prime))
     if have is None or len(have) < n:
-        have = np.ones(max(n, 2 * PASS_BYTES), np.uint32)
+        have = np.ones(n + (n >> 2) + (1 << 18), np.uint32)
         done = 1
         while done < len(have):
             more = min(done, len(have) - done)

@@ -26,12 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mix, passes, prefix_sums, span_hashes, stored, texts
+from .common import PASS_BYTES, mix, passes, prefix_sums, span_hashes, stored, texts
 
 #: Cells that a table has for each digest, at least, and beyond that.
 ROOM, SPARE = 1.5, 6
 #: A line is cut after a word whose hash is a multiple of this.
 WORDS = 8
+#: Bytes of text that one vectorised pass looks at, its edited texts beside them.
+PASS = PASS_BYTES // 4
 #: Rounds of peeling after which cells that are left count as garbled.
 ROUNDS = 64
 _CELL = np.dtype([("count", "<i4"), ("digest", "<u8"), ("check", "<u4")])
@@ -294,7 +296,7 @@ def fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
         part = None
         for batch in batches:
             ids, bodies, nums = (c.to_pylist() for c in (batch.column("doc_id"), batch.column("text"), batch.column("part")))
-            for a, b in passes(bodies):
+            for a, b in passes(bodies, most=PASS):
                 keep = [] if before is None else [before]
                 rows = keep + list(zip(ids[a:b], bodies[a:b]))
                 of = np.array(([part] if keep else []) + nums[a:b])
@@ -319,7 +321,7 @@ def fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
     def close(batches):
         for batch in batches:
             ids, bodies, following = (c.to_pylist() for c in batch.columns)
-            for a, b in passes(bodies):
+            for a, b in passes(bodies, most=PASS):
                 m = b - a
                 yield _rows(ids[a:b], bodies[a:b] + following[a:b], np.arange(m), m + np.arange(m))
 

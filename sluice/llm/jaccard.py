@@ -6,8 +6,7 @@ their sizes, so of F > D fragments at least F - D are the same in both.  A coars
 (F little above D) finds the sets that share enough fragments with any other;
 only these are cut again finely (F = 4 D), and two linked ones must share a
 fragment among the D + 1 rarest of each and have parity maps at most D apart.  For these candidates the overlap is
-counted fragment by fragment, in separate rows, and summed per pair; where the
-smaller set has under 2048 n-grams, one fragment holds it all.
+counted fragment by fragment, in separate rows, and summed per pair.
 
 Copies (equal sets) are one node.  Within a group that shares a fragment not
 all pairs are made: members are first compared with the one that has most in common with the rest, then only
@@ -30,7 +29,7 @@ from .common import map_batches, mix, passes, span_hashes, stored, texts
 from .graph import components, with_links
 
 #: Sizes at which the overlap of a pair is counted in more fragments, and how many.
-LEVELS = ((1, 1), (2048, 16), (32768, 256))
+LEVELS = ((1, 4), (2048, 16), (32768, 256))
 #: Members of a group that all are compared with one another as soon as one hub does not join them.
 SMALL_GROUP = 16
 #: 64-bit words of the parity map of a set: two maps differ in at most as many bits as the sets in n-grams.
@@ -140,11 +139,6 @@ def _rows(docs: DataFrame) -> DataFrame:
     return texts(docs).withColumn("body", F.xxhash64("text")).withColumn("row", F.coalesce("doc_id", "body"))
 
 
-def _lists(owner: np.ndarray, values: np.ndarray, n: int) -> pa.ListArray:
-    at = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=n)))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(at), pa.array(values.view(np.int64)))
-
-
 def set_nodes(doc: np.ndarray, gram: np.ndarray, n: int) -> np.ndarray:
     """Hash of each document's set (0 for an empty one)."""
     out = np.zeros(n, np.uint64)
@@ -164,25 +158,75 @@ def parity_maps(doc: np.ndarray, gram: np.ndarray, n: int) -> np.ndarray:
     return np.packbits(out, axis=1).view(">i8").astype(np.int64)
 
 
-def sketch(docs: DataFrame, words: int, t: int) -> DataFrame:
-    """(doc_id, body, row, n, node, need, keys) per document row; ``need`` keys at least are in another set if it is linked."""
+def measured(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, body, row, n, node) per document row."""
     def run(batch):
-        ids, hashes, rows, bodies = batch.column("doc_id"), batch.column("body"), batch.column("row"), batch.column("text").to_pylist()
+        bodies = batch.column("text").to_pylist()
         for a, b in passes(bodies):
             doc, gram = gram_sets(bodies[a:b], words)
             size = np.bincount(doc, minlength=b - a)
-            found = fragment_keys(doc, gram, size, t)
-            owner = np.concatenate([f[0] for f in found]) if found else np.empty(0, np.int64)
-            key = np.concatenate([f[3] for f in found]) if found else np.empty(0, np.uint64)
-            need = np.full(b - a, 1 << 40)
-            for f in found:
-                has = np.unique(f[0])
-                need[has] = np.minimum(need[has], f[4][has])
-            order = np.argsort(owner, kind="stable")
-            yield {"doc_id": ids[a:b], "body": hashes[a:b], "row": rows[a:b], "n": pa.array(size.astype(np.int64)), "node": pa.array(set_nodes(doc, gram, b - a)),
-                   "need": pa.array(need), "keys": _lists(owner[order], key[order], b - a)}
+            yield {**{c: batch.column(c)[a:b] for c in ("doc_id", "body", "row")}, "n": pa.array(size.astype(np.int64)),
+                   "node": pa.array(set_nodes(doc, gram, b - a))}
+
+    return map_batches(_rows(docs), run, "doc_id long, body long, row long, n long, node long")
+
 
-    return map_batches(_rows(docs), run, "doc_id long, body long, row long, n long, node long, need long, keys array<long>")
+def coarse_keys(docs: DataFrame, words: int, t: int) -> DataFrame:
+    """(key, node, need): ``need`` keys of a set at least are in another set if it is linked; sets of a pass enter once."""
+    def run(batch):
+        bodies = batch.column("text").to_pylist()
+        for a, b in passes(bodies):
+            doc, gram = gram_sets(bodies[a:b], words)
+            node = set_nodes(doc, gram, b - a)
+            _, first = np.unique(node, return_index=True)
+            take = np.zeros(b - a, bool)
+            take[first] = True
+            doc, gram = doc[take[doc]], gram[take[doc]]
+            found = fragment_keys(doc, gram, np.bincount(doc, minlength=b - a), t)
+            need = np.full(b - a, 1 << 30)
+            for owner, _, _, _, least in found:
+                has = np.unique(owner)
+                need[has] = np.minimum(need[has], least[has])
+            for owner, _, _, key, _ in found:
+                yield {"key": pa.array(key.view(np.int64)), "node": pa.array(node[owner]), "need": pa.array(need[owner].astype(np.int32))}
+
+    return map_batches(docs.select(F.col("text").cast("string").alias("text")), run, "key long, node long, need int")
+
+
+def shared_keys(keys: DataFrame) -> DataFrame:
+    """(node, need) for every key of a set that another set has too.
+
+    The keys are shuffled once and sorted; a scan hands on the sets of each key that has several, whatever their
+    number, and holds one row back.
+    """
+    def run(batches):
+        last = None  # (key, node, need) of the last row; whether it has been handed on
+        sent = False
+        for batch in batches:
+            key, node, need = (batch.column(i).to_numpy() for i in range(3))
+            if not len(key):
+                continue
+            old = last is not None
+            if old:
+                key, node, need = (np.append(v, x) for v, x in zip(last, (key, node, need)))
+            fresh = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1]))  # a set once a key
+            at = np.flatnonzero(fresh)
+            k = key[at]
+            with_next = np.append(k[1:] == k[:-1], False)
+            with_last = np.append(False, with_next[:-1])
+            several = with_next | with_last
+            give = several.copy()
+            if old and sent:
+                give[0] = False
+            give = at[give]
+            # the last row may have its like in the next batch
+            same_as_first = len(at) == 1 and old
+            sent = bool(several[-1]) or (same_as_first and sent)
+            last = (key[-1], node[-1], need[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(node[give]), pa.array(need[give])], names=["node", "need"])
+
+    dealt = keys.repartition("key").sortWithinPartitions("key", "node")
+    return dealt.mapInArrow(run, "node long, need int")
 
 
 def fine_keys(bodies: DataFrame, words: int, t: int) -> DataFrame:
@@ -274,14 +318,14 @@ def groups(docs: DataFrame, words: int = 3, t: int = 90) -> DataFrame:
 
 def _grouped(docs: DataFrame, words: int, t: int) -> DataFrame:
     """(doc_id, body, n, root, component_id) per document row; ``root`` tells components apart where ids clash."""
-    s = stored(sketch(docs, words, t), "sketch")
-    entries = s.select("node", F.explode("keys").alias("key"))
-    shared = entries.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("key")
-    common = entries.join(shared, "key").select("key", "node").distinct().groupBy("node").agg(F.count(F.lit(1)).alias("common"))
-    nodes = s.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("low"), F.min("row").alias("row"), F.min("need").alias("need"))
-    near = nodes.join(common, "node").where("common >= need").select("row", "node")
-    # one text per set; rows may share an id, so the sets are told apart again by their hash
-    bodies = stored(_rows(docs).join(near.select("row").distinct(), "row", "left_semi").select("text").distinct(), "bodies")
+    s = stored(measured(docs, words), "sets")
+    common = shared_keys(coarse_keys(docs, words, t)).groupBy("node").agg(F.count(F.lit(1)).alias("common"), F.min("need").alias("need"))
+    near = stored(common.where("common >= need").select("node"), "near")
+    nodes = s.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("low"), F.min("row").alias("row"))
+    # stored first: where the rows are few they are broadcast, and no text is shuffled
+    rows = stored(nodes.join(near, "node").select("row").distinct(), "near-rows")
+    # a text per set; rows may share an id, so the sets are told apart again by their hash
+    bodies = stored(_rows(docs).join(rows, "row", "left_semi").select("text"), "bodies")
     parts = stored(set_fragments(bodies, words, t).dropDuplicates(["node", "level", "fragment"]), "parts")
 
     fine = stored(fine_keys(bodies, words, t).dropDuplicates(["node", "cut"]), "fine")

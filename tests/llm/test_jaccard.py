@@ -125,3 +125,21 @@ def test_links_added_to_components(spark):
     for node, root in got.items():
         sets.setdefault(root, set()).add(node)
     assert sorted(map(sorted, sets.values())) == [[1, 2, 3, 10, 11], [20, 21], [30, 31, 32], [40]]
+
+
+def test_shared_keys_equal_plain_counts_whatever_the_batches(spark):
+    rng = random.Random(11)
+    rows = [(rng.randrange(40) if rng.random() < 0.7 else 77, rng.randrange(25), 1) for _ in range(900)] + [(1000 + i, i, 1) for i in range(50)]
+    want = {}
+    for key, node in {(k, n) for k, n, _ in rows}:
+        if len({n for k, n, _ in rows if k == key}) > 1:
+            want[node] = want.get(node, 0) + 1
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for size in ("1", "2", "7", "10000"):
+            spark.conf.set(name, size)
+            got = J.shared_keys(spark.createDataFrame(rows, "key long, node long, need int")).groupBy("node").count().collect()
+            assert {r.node: r["count"] for r in got} == want
+    finally:
+        spark.conf.set(name, before)
