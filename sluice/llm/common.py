@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sluice.session import shared_dir
 
 #: Bytes of text that one vectorised pass looks at; longer texts make a pass of their own.
-PASS_BYTES = 4 << 20
+PASS_BYTES = 1 << 20
 
 
 def texts(docs: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ ROOM, SPARE = 1.5, 6
 #: A line is cut after a word whose hash is a multiple of this.
 WORDS = 8
 #: Bytes of text that one vectorised pass looks at, its edited texts beside them.
-PASS = PASS_BYTES // 4
+PASS = PASS_BYTES
 #: Rounds of peeling after which cells that are left count as garbled.
 ROUNDS = 64
 _CELL = np.dtype([("count", "<i4"), ("digest", "<u8"), ("check", "<u4")])
