@@ -26,7 +26,7 @@ from .common import passes, span_hashes, stored, texts
 CAPACITY = 4096
 END_ID = 1
 #: Distinct words whose ids a worker keeps between passes; beyond that it starts afresh.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 250_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 
 

@@ -7,7 +7,8 @@ the word before with the instance's shape are its patterns; base spans are the
 seeds.  Rounds of scoring pass over the pattern-instance graph: a pattern is as
 good as the instances it extracts, an instance that is no seed as good for a
 pattern as the best other pattern that extracts it.  Patterns with enough seeds,
-a high share of them and a high score then give spans of their own.
+a high share of them and a high score then give spans of their own, if their
+words stand beside instances in most of all their occurrences.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ _SIGNS = {"email": "@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x
 SEEDS, SCORE, ROUNDS = 5, 0.8, 3
 #: Seeds among the different tokens that a pattern extracts, at least; no support makes up for them.
 SHARE = 0.75
+#: Share of all occurrences of a pattern's word that stand beside an instance, at least: a word of plain prose marks nothing.
+RATE = 0.5
 #: Shortest token that can be discovered.
 SHORTEST = 6
 _SPANS = "array<struct<start:int,end:int,kind:string>>"
@@ -105,7 +108,7 @@ def _shape(token: Column) -> Column:
     out = token
     for pattern, to in ((r"\p{Lu}+", "A"), (r"\p{Ll}+", "a"), (r"[0-9]+", "9")):
         out = F.regexp_replace(out, pattern, to)
-    return F.substring(out, 1, 24)
+    return out
 
 
 def _masked(text: Column, base: Column) -> Column:
@@ -132,7 +135,10 @@ def located_tokens(docs: DataFrame) -> DataFrame:
     d = d.withColumn("masked", _masked(F.col("text"), F.col("base")))
     hits = F.when(F.col("masked").rlike(f"[0-9@{_MARK}]"), _located(F.col("masked"), _WIDE)).otherwise(
         F.array().cast("array<struct<start:int,end:int,m:string>>"))
-    d = d.withColumn("hits", hits)
+    # what follows each: the piece up to the next one, and the word that the next one begins with
+    pieces, found = F.split("masked", _WIDE, -1), F.regexp_extract_all("masked", F.lit(_WIDE), F.lit(0))
+    d = d.withColumns({"hits": hits, "pieces": pieces, "found": found})
+    d = d.withColumn("after", F.transform("hits", lambda x, i: F.concat(F.get("pieces", i + 1), F.coalesce(F.get("found", i + 1), F.lit("")))))
 
     def instance(x, i):
         unit = F.regexp_replace(x["m"], rf"^[^\s0-9@{_MARK}]++\s++", "")
@@ -143,7 +149,7 @@ def located_tokens(docs: DataFrame) -> DataFrame:
         token = F.when(seed, F.substring(F.col("text"), start + 1, F.length(bare))).otherwise(bare)
         own = _word(label)
         left = F.when(F.length(own) > 0, own).otherwise(_word(F.regexp_extract(x["m"], rf"^([^\s0-9@{_MARK}]++)\s", 1)))
-        tail = F.substring(F.col("masked"), x["end"] + 1, 80)
+        tail = F.get("after", i)
         right = _word(F.regexp_extract(tail, rf"^[^\p{{L}}0-9@{_MARK}]*+(\p{{L}}[^\s0-9@{_MARK}]*+)(?=\s|$)", 1))
         # a side without a word: the edge of the text, or something else that is no word
         edge = lambda w, at_edge: F.when(F.length(w) > 0, w).when(at_edge, F.lit("^")).otherwise(F.lit("#"))
@@ -180,14 +186,38 @@ def scored(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return scores
 
 
-def discover(found: DataFrame, seeds: int = SEEDS, score: float = SCORE, rounds: int = ROUNDS, share: float = SHARE) -> DataFrame:
+def _words_of(pattern: Column) -> Column:
+    """The words of a pattern: its left one, its right one, or both; not the edges, not a shape."""
+    part = F.split(pattern, " ")
+    words = F.when(part[0] == "B", F.slice(part, 2, 2)).otherwise(F.slice(part, 2, 1))
+    return F.array_distinct(F.filter(words, lambda w: ~w.isin("^", "#")))
+
+
+def marking(good: DataFrame, uses: DataFrame, docs: DataFrame, rate: float) -> DataFrame:
+    """The patterns of ``good`` whose words stand beside an instance in ``rate`` of all their occurrences at least.
+
+    ``uses`` has each pattern's number of instances.  Of a pattern with two words the rarer one counts.
+    """
+    wanted = good.select("pattern", F.explode(_words_of(F.col("pattern"))).alias("word"))
+    words = stored(wanted.select("word").distinct(), "words")
+    every = docs.select(F.explode(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), r"\s+")).alias("word"))
+    every = every.select(_word(F.col("word")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("times"))
+    least = wanted.join(every.join(words, "word"), "word").groupBy("pattern").agg(F.min("times").alias("times"))
+    return least.join(uses, "pattern").where(F.col("uses") >= rate * F.col("times")).select("pattern")
+
+
+def discover(found: DataFrame, docs: DataFrame, seeds: int = SEEDS, score: float = SCORE, rounds: int = ROUNDS, share: float = SHARE,
+             rate: float = RATE) -> DataFrame:
     """(doc_id, body, start, end) of tokens that good patterns extract beyond the base spans."""
-    one = found.select("doc_id", "body", F.explode("hits").alias("h")).select("doc_id", "body", "h.*")
-    one = one.where(F.col("seed") | (F.length("token") >= SHORTEST)).withColumn("pattern", F.explode("patterns"))
+    every = found.select("doc_id", "body", F.explode("hits").alias("h")).select("doc_id", "body", "h.*").withColumn("pattern", F.explode("patterns"))
+    one = every.where(F.col("seed") | (F.length("token") >= SHORTEST))
     # an occurrence has one pattern of each kind; support comes from patterns of the same kind, so from other places
     token = F.concat(F.substring("pattern", 1, 1), "token").alias("token")
     edges = stored(one.groupBy("pattern", token).agg(F.max("seed").alias("seed")), "edges")
-    good = scored(edges, rounds).where((F.col("seeds") >= seeds) & (F.col("seeds") >= share * F.col("n")) & (F.col("score") >= score)).select("pattern")
+    good = stored(scored(edges, rounds).where((F.col("seeds") >= seeds) & (F.col("seeds") >= share * F.col("n")) & (F.col("score") >= score))
+                  .select("pattern"), "good")
+    uses = every.join(good, "pattern", "left_semi").groupBy("pattern").agg(F.count(F.lit(1)).alias("uses"))
+    good = stored(marking(good, uses, docs, rate), "marking")
     return one.where("not seed").join(good, "pattern", "left_semi").select("doc_id", "body", "start", "end").distinct()
 
 
@@ -199,7 +229,7 @@ def spans(docs: DataFrame, **how) -> DataFrame:
     ``context`` and never overlap base spans.
     """
     found = stored(located_tokens(docs), "located")
-    extra = discover(found, **how).groupBy("doc_id", "body").agg(
+    extra = discover(found, docs, **how).groupBy("doc_id", "body").agg(
         F.collect_set(F.struct(F.col("start"), F.col("end"), F.lit("context").alias("kind"))).alias("extra"))
     x = extra.select(F.col("doc_id").alias("x_id"), F.col("body").alias("x_body"), "extra")
     both = found.select("doc_id", "body", "base").join(x, (F.col("doc_id").eqNullSafe(F.col("x_id"))) & (F.col("body") == F.col("x_body")), "left")

@@ -110,3 +110,24 @@ def test_empty_table(documents):
 def test_main_path_has_no_python(documents, capsys):
     pii.spans(documents([(1, "a@b.co")])).explain()
     assert not re.search("Python|Arrow|Pandas", capsys.readouterr().out)
+
+
+def test_words_of_plain_prose_mark_nothing(documents):
+    seeds = [(i, f"pay of 10.{i}.3.4 now and 10.{i}.9.9 then ident 10.{i}.7.7 ok") for i in range(20)]
+    prose = [(100 + i, "some of the words and more of them and so on") for i in range(60)]
+    odd = [(900, "out of 1234567890123456 and 9876543210987654 in"), (901, "ident 10.3.4.999 ok")]
+    got = {r.doc_id: r.spans for r in pii.report(documents(seeds + prose + odd)).collect()}
+    assert got[900] == "" and got[901] == "context:6:16"
+
+
+def test_contexts_reach_as_far_as_the_next_word(documents):
+    far = "-" * 200
+    docs = [(i, f"10.{i}.3.4 {far} label") for i in range(40)] + [(50, f"10.3.4.999 {far} label"), (51, "10.3.4.998 label 10.3.4.997 label")]
+    got = {r.doc_id: r.spans for r in pii.report(documents(docs)).collect()}
+    assert got[50] == "context:0:10" and got[51] == "context:0:10,context:17:27"
+
+
+def test_no_discovery_on_the_given_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    kinds = [s.split(":")[0] for r in pii.report(docs).collect() for s in r.spans.split(",") if s]
+    assert kinds and "context" not in kinds
