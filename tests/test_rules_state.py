@@ -90,5 +90,8 @@ def test_salted_join_equals_plain_join(spark):
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, salted.collect()))
     anti = enrich(left, right, "r", "k", "k", how="left_anti", salt_buckets=8, hot_key_rows=5000)
     assert anti.count() == left.where("k >= 400").count()
-    with pytest.raises(ValueError):
-        enrich(left, right, "r", "k", "k", how="full", right_columns=["w"], salt_buckets=8)
+    # right and full joins are salted too; their unmatched right rows come once
+    far = right.unionByName(spark.range(900, 905).select(F.col("id").alias("k"), F.col("id").alias("w")))
+    for how in ("right", "full"):
+        plain, salted = (enrich(left, far, "r", "k", "k", how=how, right_columns=["w"], **salt) for salt in ({}, {"salt_buckets": 8, "hot_key_rows": 5000}))
+        assert sorted(map(str, plain.collect())) == sorted(map(str, salted.collect()))
