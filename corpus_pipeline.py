@@ -2,6 +2,13 @@
 
 Each stage takes what the one before it kept, as Parquet; all but the last
 return the columns of ``documents``.
+
+Defined results: null and empty texts are scored as empty, are near copies of
+nothing, hold no passage and no personal data, and are packed as the end id
+alone.  Rows without an id are kept by the near copies.  Of rows that repeat
+both id and text the near copies keep one; the other stages treat rows one by
+one.  Empty tables give empty results, and other columns, whatever their names,
+go through unchanged up to the packing.
 """
 
 from __future__ import annotations
