@@ -21,12 +21,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import from_json
-from .common import passes, span_hashes, stored, texts
+from .common import PASS_BYTES, passes, span_hashes, stored, texts
 
 CAPACITY = 4096
 END_ID = 1
 #: Distinct words whose ids a worker keeps between passes; beyond that it starts afresh.
-KEPT_WORDS = 250_000
+KEPT_WORDS = 500_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 
 
@@ -188,7 +188,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, e
         enc, part, seen = encoder(tokenizer_path), TaskContext.get().partitionId(), Counter()
         for batch in batches:
             rows, keys, bodies = [], batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in passes(bodies):
+            for a, b in passes(bodies, most=2 * PASS_BYTES):
                 for doc_id, ids in zip(keys[a:b], enc.ids([t or "" for t in bodies[a:b]])):
                     ids = np.concatenate((ids, tail)).astype("<u4", copy=False)
                     for piece, start in enumerate(range(0, len(ids), capacity)):
