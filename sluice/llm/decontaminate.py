@@ -18,13 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, passes, texts
+from .common import mix, passes, texts
 
 Q = 12
 EDIT_RATE = 0.05
 #: Item text that one block of the query set holds.
 BLOCK_BYTES = 8 << 20
 _BITS = 22
+#: Positions whose q-grams are looked up at once, whatever the length of the text.
+_CHUNK = 1 << 16
 
 SCHEMA = "doc_id long, item_id long, start long, end long, edits long, item_length long"
 
@@ -34,6 +36,16 @@ def normal(text: str | None) -> bytes:
     return " ".join((text or "").lower().split()).encode("utf-8", "replace")
 
 
+def gram_keys(data: np.ndarray, q: int) -> np.ndarray:
+    """A key of data[i:i+q] for every i; unequal q-grams of one key only bring candidates that the alignment refuses."""
+    n = max(0, len(data) - q + 1)
+    keys = np.zeros(n, np.uint64)
+    for j in range(q):
+        keys *= np.uint64(0xA0761D6478BD642F)
+        keys += data[j:j + n]
+    return mix(keys)
+
+
 def edit_budget(m: int, q: int = Q, rate: float = EDIT_RATE) -> int:
     """Edits allowed for an item of m bytes: the rate, as far as the lemma keeps two q-grams."""
     return max(0, min(int(rate * m), (m - q - 1) // q))
@@ -48,27 +60,34 @@ class Index:
         self.short = [(n, i, b) for n, (i, b) in enumerate(self.items) if len(b) < q]
         hashes, which, where = [], [], []
         for n, (_, b) in enumerate(self.items):
-            h = gram_hashes(np.frombuffer(b, np.uint8), q)
+            h = gram_keys(np.frombuffer(b, np.uint8), q)
             hashes.append(h)
-            which.append(np.full(len(h), n, np.int64))
-            where.append(np.arange(len(h)))
+            which.append(np.full(len(h), n, np.int32))
+            where.append(np.arange(len(h), dtype=np.int32))
         cat = lambda x, t: np.concatenate(x) if x else np.empty(0, t)
         h = cat(hashes, np.uint64)
         order = np.argsort(h, kind="stable")
-        self.hash, self.item, self.off = h[order], cat(which, np.int64)[order], cat(where, np.int64)[order]
+        self.hash, self.item, self.off = h[order], cat(which, np.int32)[order], cat(where, np.int32)[order]
         self.seen = np.zeros(1 << _BITS, bool)
         self.seen[(self.hash >> np.uint64(64 - _BITS)).astype(np.int64)] = True
         size = np.array([len(b) for _, b in self.items], np.int64)
         self.budget = np.array([edit_budget(m, q, rate) for m in size], np.int64)
         self.least = np.maximum(1, size - q + 1 - self.budget * q)
 
+    def shared(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Positions whose q-gram some item holds, the first of its entries, and how many there are."""
+        found = [np.zeros((3, 0), np.int64)]
+        for at in range(0, len(data), _CHUNK):
+            h = gram_keys(data[at:at + _CHUNK + self.q - 1], self.q)
+            pos = np.flatnonzero(self.seen[(h >> np.uint64(64 - _BITS)).astype(np.int64)])
+            lo, hi = np.searchsorted(self.hash, h[pos], "left"), np.searchsorted(self.hash, h[pos], "right")
+            found.append(np.stack((pos + at, lo, hi - lo))[:, hi > lo])
+        pos, lo, n = np.concatenate(found, axis=1)
+        return pos, lo, n
+
     def candidates(self, data: np.ndarray, begin: np.ndarray):
         """(document, item, lowest diagonal of the band) that reach the lemma's bound."""
-        h = gram_hashes(data, self.q)
-        pos = np.flatnonzero(self.seen[(h >> np.uint64(64 - _BITS)).astype(np.int64)])
-        lo, hi = np.searchsorted(self.hash, h[pos], "left"), np.searchsorted(self.hash, h[pos], "right")
-        n = hi - lo
-        pos, lo, n = pos[n > 0], lo[n > 0], n[n > 0]
+        pos, lo, n = self.shared(data)
         entry = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
         item, diagonal = self.item[entry], np.repeat(pos, n) - self.off[entry]
         doc = np.searchsorted(begin, np.repeat(pos, n), side="right") - 1
