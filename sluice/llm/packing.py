@@ -40,6 +40,11 @@ def _classes() -> np.ndarray:
     return out
 
 
+def _inside(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Positions start, start + 1, ... start + size - 1 of each span, end to end."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
 class WordEncoder:
     """Token ids of many texts in one pass.
 
@@ -114,53 +119,65 @@ class WordEncoder:
         fresh = np.concatenate(([True], hashes[1:] != hashes[:-1]))
         inverse = np.empty(len(order), np.int64)
         inverse[order] = np.cumsum(fresh) - 1
-        sample = order[fresh]
-        # words of one hash are told apart by their units
-        other = self._unlike(data, start, end, sample[inverse])
-        more: dict[bytes, int] = {}
-        for w in other:
-            inverse[w] = more.setdefault(data[start[w]:end[w]].tobytes(), len(sample) + len(more))
-        if more:
-            sample = np.concatenate((sample, [other[np.flatnonzero(inverse[other] == i)[0]] for i in more.values()]))
-        names = [data[a:b].tobytes() for a, b in zip(start[sample].tolist(), end[sample].tolist())]
-        new = np.array([i for i, name in enumerate(names) if name not in self.known], np.int64)
-        if len(new):
-            if len(self.known) + len(new) > KEPT_WORDS:
-                self._forget()
-                new = np.arange(len(names))
-            pool, first = self._merge_words(data, start[sample[new]], end[sample[new]])
-            self.known.update(zip([names[i] for i in new], range(len(self.at), len(self.at) + len(new))))
-            self.at = np.concatenate((self.at, first[:-1] + len(self.pool)))
-            self.count = np.concatenate((self.count, np.diff(first)))
-            self.pool = np.concatenate((self.pool, pool))
-        at = np.fromiter((self.known[name] for name in names), np.int64, len(names))
-        return self.pool, self.at[at], self.count[at], inverse
-
-    @staticmethod
-    def _unlike(data, start, end, like) -> np.ndarray:
-        """The words that are not, unit by unit, the word that they are said to be."""
+        hashes, sample = hashes[fresh], order[fresh]
+        new = ~self._known(hashes)
+        if len(self.hashes) + np.count_nonzero(new) > KEPT_WORDS:
+            self._forget()
+            new[:] = True
+        if new.any():
+            self._learn(data, start[sample[new]], end[sample[new]], hashes[new])
+        inverse = self.word[np.searchsorted(self.hashes, hashes)][inverse]
+        # words of one hash are told apart by their units: those that differ from the word kept are merged by themselves
+        other = self._unlike(data, start, end, inverse)
+        if not len(other):
+            return self.pool, self.at, self.count, inverse
+        pool, first = self._merge_words(data, start[other], end[other])
+        inverse[other] = len(self.at) + np.arange(len(other))
+        return (np.concatenate((self.pool, pool)), np.concatenate((self.at, first[:-1] + len(self.pool))),
+                np.concatenate((self.count, np.diff(first))), inverse)
+
+    def _known(self, hashes) -> np.ndarray:
+        at = np.searchsorted(self.hashes, hashes)
+        return np.append(self.hashes, np.uint64(0))[at] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
+
+    def _learn(self, data, start, end, hashes) -> None:
+        """Keep the ids and the units of words that have new hashes (in order)."""
+        pool, first = self._merge_words(data, start, end)
+        size = end - start
+        slot = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, slot, hashes)
+        self.word = np.insert(self.word, slot, len(self.at) + np.arange(len(hashes)))
+        self.begin = np.concatenate((self.begin, len(self.units) + np.cumsum(size) - size))
+        self.size = np.concatenate((self.size, size))
+        self.units = np.concatenate((self.units, data[_inside(start, size)]))
+        self.at = np.concatenate((self.at, first[:-1] + len(self.pool)))
+        self.count = np.concatenate((self.count, np.diff(first)))
+        self.pool = np.concatenate((self.pool, pool))
+
+    def _unlike(self, data, start, end, word) -> np.ndarray:
+        """The words of a pass that are not, unit by unit, the word kept for their hash."""
         size = end - start
-        same = size == end[like] - start[like]
+        same = size == self.size[word]
         pick = np.flatnonzero(same)
         size = size[pick]
-        inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        off = data[np.repeat(start[pick], size) + inner] != data[np.repeat(start[like[pick]], size) + inner]
-        same[pick[np.repeat(np.arange(len(pick)), size)[off]]] = False
+        off = np.flatnonzero(data[_inside(start[pick], size)] != self.units[_inside(self.begin[word[pick]], size)])
+        same[pick[np.searchsorted(np.cumsum(size), off, side="right")]] = False
         return np.flatnonzero(~same)
 
     def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.at, self.count = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.hashes, self.word = np.empty(0, np.uint64), np.empty(0, np.int64)  # by hash, and the word's number
+        self.begin, self.size = np.empty(0, np.int64), np.empty(0, np.int64)  # the words' units, by number
+        self.units = np.empty(0, np.uint16)
+        self.at, self.count = np.empty(0, np.int64), np.empty(0, np.int64)  # the words' ids, by number
         self.pool = np.empty(0, np.uint32)
 
     def _merge_words(self, data, s, end):
         size = end - s
         upto = np.concatenate(([0], np.cumsum(size + 1)))  # with a blank after each word
         flat = np.full(upto[-1], 0x20, np.uint16)
-        body = np.repeat(s - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
         gap = np.ones(upto[-1], bool)
         gap[upto[1:] - 1] = False
-        flat[gap] = data[body]
+        flat[gap] = data[_inside(s, size)]
         raw = np.frombuffer(flat.tobytes().decode("utf-16-le").encode(), np.uint8)
         ends = np.flatnonzero(raw == 0x20)
         begins = np.concatenate(([0], ends[:-1] + 1))
