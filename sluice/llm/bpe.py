@@ -37,14 +37,17 @@ class Merges:
         self.keys = np.full(size, -1, np.int64)
         self.ranks = np.full(size, _NONE, np.int32)
         self.ids = np.zeros(size, np.int32)
-        self.probes = 1
-        for (a, b), (rank, new) in pairs.items():
-            key = a << 32 | b
-            at, n = int(self._slot(np.array([key], np.int64))[0]), 1
-            while self.keys[at] != -1:
-                at, n = (at + 1) % size, n + 1
-            self.keys[at], self.ranks[at], self.ids[at] = key, rank, new
-            self.probes = max(self.probes, n)
+        keys = np.fromiter((a << 32 | b for a, b in pairs), np.int64, len(pairs))
+        values = np.array(list(pairs.values()), np.int32).reshape(-1, 2)
+        at, todo, self.probes = self._slot(keys), np.arange(len(keys)), 0
+        while len(todo):  # each free slot goes to one of the keys that reach it, the others go one slot on
+            self.probes += 1
+            free = todo[self.keys[at[todo]] == -1]
+            self.keys[at[free]] = keys[free]
+            placed = self.keys[at[todo]] == keys[todo]
+            done, todo = todo[placed], todo[~placed]
+            self.ranks[at[done]], self.ids[at[done]] = values[done, 0], values[done, 1]
+            at[todo] = (at[todo] + 1) % size
 
     def _slot(self, key: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
