@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import infill, warc
+from . import infill, oracles, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,9 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .variants import variants
 
     return variants(table(spark, sf_dir, "documents"))
+
+
+sql("op2_bwt_repeats", oracles.repeats())
+sql("op4_ngram_jaccard_join", oracles.near_groups())
+sql("op11_spelling_variants", oracles.variants())
+sql("op13_warc_normaliser", oracles.ARCHIVE)
