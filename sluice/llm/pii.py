@@ -41,6 +41,8 @@ SHORTEST = 6
 _SPANS = "array<struct<start:int,end:int,kind:string>>"
 #: Stands for the characters of base spans while instances are located.
 _MARK = "\ue000"
+#: Matches of a text that are located at a time.
+_BLOCK = 512
 _NUMBER = rf"[+(]*+[0-9]++(?:[().-]++[0-9]++)*+\)?+(?=[^\p{{L}}0-9@\s{_MARK}]*+(?:\s|$))"
 #: A word and blanks, so that one pass finds it too, then what holds a base span, numbers in groups (19 at most, as the
 #: digits of a card), or a token with a digit or an at sign; further base spans of the same token.
@@ -53,11 +55,23 @@ def _located(text: Column, pattern: str) -> Column:
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
     step = F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda m, g: F.struct(F.length(g).alias("g"), m.alias("m")))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,m:string>>").alias("out"))
-    return F.aggregate(step, empty, lambda acc, x: F.struct(
-        (acc["at"] + x["g"] + F.length(x["m"])).alias("at"),
-        F.concat(acc["out"], F.array(F.struct((acc["at"] + x["g"]).alias("start"),
-                 (acc["at"] + x["g"] + F.length(x["m"])).alias("end"), x["m"].alias("m")))).alias("out")))["out"]
+    none = F.array().cast("array<struct<start:int,end:int,m:string>>")
+
+    def one(acc, x):
+        start, end = acc["at"] + x["g"], acc["at"] + x["g"] + F.length(x["m"])
+        place = F.struct(start.alias("start"), end.alias("end"), x["m"].alias("m"))
+        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(place)).alias("out"))
+
+    def block(acc, b):
+        own = F.aggregate(b, F.struct(acc["at"].alias("at"), none.alias("out")), one)
+        return F.struct(own["at"].alias("at"), F.concat(acc["out"], F.array(own["out"])).alias("out"))
+
+    # appending copies a list, so that is done in blocks: the work stays in proportion to the matches
+    cut = lambda x: F.transform(F.sequence(F.lit(0), F.floor(F.size(x) / _BLOCK).cast("int")), lambda b: F.slice(x, b * _BLOCK + 1, F.lit(_BLOCK)))
+    blocks = F.get(F.transform(F.array(step), cut), F.lit(0))  # a name for the list, or each block would make it again
+    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<array<struct<start:int,end:int,m:string>>>").alias("out"))
+    few = F.aggregate(step, F.struct(F.lit(0).alias("at"), none.alias("out")), one)["out"]
+    return F.when(F.size(found) <= _BLOCK, few).otherwise(F.flatten(F.aggregate(blocks, empty, block)["out"]))
 
 
 def _digits(m: Column) -> Column:
@@ -113,12 +127,19 @@ def _shape(token: Column) -> Column:
 
 def _masked(text: Column, base: Column) -> Column:
     """The text with each base span filled with marks, of the same length."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    def filled(plain):
+        def one(acc, x):
+            return F.when(x["end"] <= acc["at"], acc).otherwise(F.struct(x["end"].alias("at"), F.concat(
+                acc["out"], F.substring(plain, acc["at"] + 1, F.greatest(x["start"] - acc["at"], F.lit(0))),
+                F.repeat(F.lit(_MARK), x["end"] - F.greatest(x["start"], acc["at"]))).alias("out")))
+
+        cut = F.aggregate(base, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), one)
+        rest = lambda c: F.concat(c["out"], F.substring(plain, c["at"] + 1, F.length(plain)))
+        return F.get(F.transform(F.array(cut), rest), F.lit(0))
+
+    # names for the text and for the part in front of the rest, or each span would make them again
     plain = F.translate(text, _MARK, " ")
-    cut = F.aggregate(base, start, lambda acc, x: F.when(x["end"] <= acc["at"], acc).otherwise(F.struct(x["end"].alias("at"), F.concat(
-        acc["out"], F.substring(plain, acc["at"] + 1, F.greatest(x["start"] - acc["at"], F.lit(0))),
-        F.repeat(F.lit(_MARK), x["end"] - F.greatest(x["start"], acc["at"]))).alias("out"))))
-    return F.when(F.size(base) == 0, plain).otherwise(F.concat(cut["out"], F.substring(plain, cut["at"] + 1, F.length(text))))
+    return F.when(F.size(base) == 0, plain).otherwise(F.get(F.transform(F.array(plain), filled), F.lit(0)))
 
 
 def _word(x: Column) -> Column:

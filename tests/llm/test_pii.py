@@ -131,3 +131,11 @@ def test_no_discovery_on_the_given_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     kinds = [s.split(":")[0] for r in pii.report(docs).collect() for s in r.spans.split(",") if s]
     assert kinds and "context" not in kinds
+
+
+def test_very_many_matches_keep_their_places(documents):
+    n = 3000
+    docs = [(1, "".join(f"{'x' * (i % 3)} é@b.co1 10.0.0.{i % 300}\n" for i in range(n))), (2, "a@b.co " * 512), (3, "a@b.co " * 513)]
+    got = {r.doc_id: r for r in pii.report(documents(docs)).collect()}
+    for d, t in docs:
+        assert got[d].base_sha256 == hashlib.sha256(base(t).encode()).hexdigest()
