@@ -66,3 +66,60 @@ def test_windows_miss_nothing_that_the_whole_text_has(documents):
 
 def test_empty_table(documents):
     assert L.scan(documents([])).collect() == []
+
+
+def test_the_best_of_overlapping_windows(documents):
+    gpl = L.TEMPLATES["gpl-notice"]
+    text = f"the one two three four five six seven {gpl} and more"
+    got = [r for r in L.scan(documents([(1, text)])).collect() if r.template == "gpl-notice"]
+    assert [(r.coverage, text[r.start:r.end]) for r in got] == [(1.0, gpl.rstrip("."))]
+
+
+def test_the_body_of_a_license_without_its_opening(documents):
+    whole = L.TEMPLATES["mit-text"]
+    body = whole[whole.index("THE SOFTWARE IS PROVIDED"):]
+    got = L.scan(documents([(1, f"x y z\n{body}\nz y x"), (2, whole.replace("copies", "copy"))])).collect()
+    assert {(r.doc_id, r.template) for r in got} >= {(1, "mit-warranty"), (2, "mit-text"), (2, "mit"), (2, "mit-warranty")}
+
+
+def longest_first(own, words, need, width):
+    """The rule written plainly: every window of every start, alignments by ``lcs`` of words that are unique in both."""
+    def found(s):
+        window = own[s:s + width]
+        at = [(words.index(w), s + j) for j, w in enumerate(window) if w in words]
+        best = max(([p for p in c] for r in range(len(at) + 1) for c in itertools.combinations(at, r)
+                    if all(a[0] < b[0] for a, b in zip(c, c[1:]))), key=len, default=[])
+        return (len(best), best[0][1], best[-1][1]) if len(best) >= need else None
+
+    out, s = [], 0
+    while s < len(own):
+        one = own[s] in words and found(s)
+        if not one:
+            s += 1
+            continue
+        rivals = [m for t in range(s, one[2] + 1) if own[t] in words and (m := found(t)) and m[1] <= one[2]]
+        best = max(rivals, key=lambda m: (m[0], m[1] - m[2]))  # the first of equals
+        out.append(best)
+        s = best[2] + 1
+    return out
+
+
+def test_query_equals_brute_force(documents):
+    rng = random.Random(8)
+    template = "alpha beta gamma delta epsilon"
+    own, docs, want = template.split(), [], []
+    for i in range(120):
+        body = []
+        # template words are unique within a window here, so the longest alignment is the only one
+        while len(body) < 40:
+            part = list(own)
+            if rng.random() < .6:
+                part.pop(rng.randrange(5))
+            body += [w for p in part for w in ([p, "x"] if rng.random() < .15 else [p])] + ["y"] * rng.randint(8, 10)
+        docs.append((i, " ".join(body)))
+        want += [(i, n / 5, a, b) for n, a, b in longest_first(body, own, 4, int(L.STRETCH * 5) + 1)]
+    got = []
+    for r in L.scan(documents(docs), {"t": template}).collect():
+        text = dict(docs)[r.doc_id]
+        got.append((r.doc_id, r.coverage, text[:r.start].count(" "), text[:r.end].count(" ")))
+    assert sorted(got) == sorted(want) and len(got) > 100
