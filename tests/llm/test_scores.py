@@ -107,3 +107,9 @@ def test_good_keeps_every_column(spark, documents):
     assert kept.columns == docs.columns
     ids = {r.doc_id for r in kept.collect()}
     assert np.mean([(d in ids) == bool(q) for d, (q, _) in want.items()]) > 0.95
+
+
+def test_marks_and_format_characters_are_folded():
+    from sluice.llm.toxicity import folded
+
+    assert folded("clöwn clo​wn clöwn сl0wn ＣＬＯＷＮ clo­wn İi") == " clown clown clown clown clown clown ii "
