@@ -260,7 +260,8 @@ def _counted(fragments: DataFrame) -> DataFrame:
 def repeated_runs(docs: DataFrame, most: int = MOST) -> DataFrame:
     """(row, first, last): strings that start at first .. last of a row's bytes occur elsewhere too."""
     every = occurrences(docs)
-    twice = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    # stored first: few are broadcast and many are joined with a shuffle of their own, whose hot anchors AQE splits
+    twice = stored(every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "twice")
     found = stored(every.join(twice, "anchor"), "anchors")
     kinds = found.groupBy("anchor", "frag").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("row", "first", "last")).alias("at"))
     kinds = stored(kinds.select("anchor", "frag", "times", "at.*"), "kinds")
