@@ -1,8 +1,9 @@
 """Toxicity by a weighted lexicon matched with an Aho-Corasick automaton.
 
-Texts are folded first: lower case, letters without their marks, look-alike
-letters and digits that stand for letters, format characters (zero width,
-soft hyphen) left out, everything else a blank.  The lexicon (words and word beginnings)
+Texts are folded first: lower case, look-alike letters and digits that stand
+for letters, format characters (zero width, soft hyphen) and marks that compose
+with no letter left out, everything else a blank.  Composed letters keep their
+marks, which tell words of many languages apart.  The lexicon (words and word beginnings)
 and the exception phrases are learnt from a bounded labelled sample; entries
 carry log-odds weights, and the sum over a text is divided by a measure of its
 length before a logistic curve fitted on the same sample turns it into a score.
@@ -33,7 +34,7 @@ ENTRIES, EXCEPTIONS = 2000, 2000
 _LOOKS = dict(zip("авеіјкмнорсԁуѕтхαεικνορτυχɡ",
                   "abeijkmhopcdystxaeikvoptuxg"))
 _SIGNS = dict(zip("013457@$", "oieastas"))
-#: Categories of marks on letters and of format characters.
+#: Categories of marks that stand by themselves and of format characters.
 _LEFT_OUT = ("Mn", "Me", "Cf")
 
 
@@ -41,7 +42,7 @@ class _Fold(dict):
     """Translation table that works out a letter when it first meets it."""
 
     def __missing__(self, code: int):
-        c = unicodedata.normalize("NFKD", chr(code).lower())
+        c = unicodedata.normalize("NFKC", chr(code).lower())
         c = "".join(x for x in c if unicodedata.category(x) not in _LEFT_OUT)
         out = "".join(_LOOKS.get(x, _SIGNS.get(x, x if x.isalpha() else " ")) for x in c)
         self[code] = out
@@ -53,7 +54,7 @@ _FOLD = _Fold()
 
 def folded(text: str | None) -> str:
     """Folded words between single blanks, with a blank at either end."""
-    return f" {' '.join((text or '').translate(_FOLD).split())} "
+    return f" {' '.join(unicodedata.normalize('NFC', text or '').translate(_FOLD).split())} "
 
 
 def features(words: set[str]) -> set[str]:

@@ -112,4 +112,5 @@ def test_good_keeps_every_column(spark, documents):
 def test_marks_and_format_characters_are_folded():
     from sluice.llm.toxicity import folded
 
-    assert folded("clöwn clo​wn clöwn сl0wn ＣＬＯＷＮ clo­wn İi") == " clown clown clown clown clown clown ii "
+    assert folded("c\u0336l\u0336own clo\u200bwn \u0441l0wn \uff23\uff2c\uff2f\uff37\uff2e clo\u00adwn") == " clown clown clown clown clown "
+    assert folded("Sch\u00d6n scho\u0308n") == " sch\u00f6n sch\u00f6n " and folded(None) == "  "
