@@ -43,21 +43,26 @@ _SPANS = "array<struct<start:int,end:int,kind:string>>"
 _MARK = "\ue000"
 _NUMBER = rf"[+(]*+[0-9]++(?:[().-]++[0-9]++)*+\)?+(?=[^\p{{L}}0-9@\s{_MARK}]*+(?:\s|$))"
 #: A word and blanks, so that one pass finds it too, then what holds a base span, numbers in groups (19 at most, as the
-#: digits of a card), or a token with a digit or an at sign; further base spans of the same token.
-_WIDE = (rf"(?:(?<=\s)|^)(?:[^\s0-9@{_MARK}]++\s++)?(?:[^\s{_MARK}]*+{_MARK}++|{_NUMBER}(?:\x20{_NUMBER}){{1,18}}+|[^\s0-9@{_MARK}]*+[0-9@]\S*+)"
+#: digits of a card), or a token with a digit or an at sign; further base spans of the same token.  The look-ahead lets
+#: words that neither hold nor precede any of that fail at once.
+_WIDE = (rf"(?<!\S)(?=[^\s0-9@{_MARK}]*+(?:\s++[^\s0-9@{_MARK}]*+)?+[0-9@{_MARK}])"
+         rf"(?:[^\s0-9@{_MARK}]++\s++)?(?:[^\s{_MARK}]*+{_MARK}++|{_NUMBER}(?:\x20{_NUMBER}){{1,18}}+|[^\s0-9@{_MARK}]*+[0-9@]\S*+)"
          rf"|(?<={_MARK})[^\s{_MARK}]*+{_MARK}++")
 
 
 def _located(text: Column, pattern: str) -> Column:
-    """Matches with their code-point offsets: the pieces between them say where they lie."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    step = F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda m, g: F.struct(F.length(g).alias("g"), m.alias("m")))
+    """Matches with their code-point offsets."""
+    return _placed(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1))
+
+
+def _placed(found: Column, gaps: Column) -> Column:
+    """The pieces between the matches, one more than there are matches, say where they lie."""
+    step = F.zip_with(found, gaps, lambda m, g: F.struct(F.length(g).alias("g"), m.alias("m")))
     empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,m:string>>").alias("out"))
-    return F.aggregate(step, empty, lambda acc, x: F.struct(
+    return F.aggregate(step, empty, lambda acc, x: F.when(x["m"].isNull(), acc).otherwise(F.struct(
         (acc["at"] + x["g"] + F.length(x["m"])).alias("at"),
         F.concat(acc["out"], F.array(F.struct((acc["at"] + x["g"]).alias("start"),
-                 (acc["at"] + x["g"] + F.length(x["m"])).alias("end"), x["m"].alias("m")))).alias("out")))["out"]
+                 (acc["at"] + x["g"] + F.length(x["m"])).alias("end"), x["m"].alias("m")))).alias("out"))))["out"]
 
 
 def _digits(m: Column) -> Column:
@@ -140,34 +145,54 @@ def located_tokens(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     d = texts(docs).select("doc_id", text.alias("text"), F.xxhash64(text).alias("body"), base_spans(text).alias("base"))
     d = d.withColumn("masked", _masked(F.col("text"), F.col("base")))
-    hits = F.when(F.col("masked").rlike(f"[0-9@{_MARK}]"), _located(F.col("masked"), _WIDE)).otherwise(
-        F.array().cast("array<struct<start:int,end:int,m:string>>"))
+    # texts without a sign of an instance are not searched; the columns are read several times, so each is made once
+    signed = F.col("masked").rlike(f"[0-9@{_MARK}]")
+    d = d.withColumns({
+        "found": F.when(signed, F.regexp_extract_all("masked", F.lit(_WIDE), F.lit(0))).otherwise(F.array().cast("array<string>")),
+        "pieces": F.when(signed, F.split("masked", _WIDE, -1)).otherwise(F.array(F.col("masked")))})
     # what follows each: the piece up to the next one, and the word that the next one begins with
-    pieces, found = F.split("masked", _WIDE, -1), F.regexp_extract_all("masked", F.lit(_WIDE), F.lit(0))
-    d = d.withColumns({"hits": hits, "pieces": pieces, "found": found})
-    d = d.withColumn("after", F.transform("hits", lambda x, i: F.concat(F.get("pieces", i + 1), F.coalesce(F.get("found", i + 1), F.lit("")))))
-
-    def instance(x, i):
-        unit = F.regexp_replace(x["m"], rf"^[^\s0-9@{_MARK}]++\s++", "")
-        seed = x["m"].contains(_MARK)
-        label = F.regexp_extract(unit, rf"^([^{_MARK}]*+){_MARK}", 1)
-        bare = F.when(seed, F.regexp_extract(unit, f"({_MARK}+)", 1)).otherwise(F.regexp_replace(unit, r"[^\p{L}0-9]+$", ""))
-        start = x["end"] - F.length(unit) + F.length(label)
-        token = F.when(seed, F.substring(F.col("text"), start + 1, F.length(bare))).otherwise(bare)
-        own = _word(label)
-        left = F.when(F.length(own) > 0, own).otherwise(_word(F.regexp_extract(x["m"], rf"^([^\s0-9@{_MARK}]++)\s", 1)))
-        tail = F.get("after", i)
-        right = _word(F.regexp_extract(tail, rf"^[^\p{{L}}0-9@{_MARK}]*+(\p{{L}}[^\s0-9@{_MARK}]*+)(?=\s|$)", 1))
-        # a side without a word: the edge of the text, or something else that is no word
-        edge = lambda w, at_edge: F.when(F.length(w) > 0, w).when(at_edge, F.lit("^")).otherwise(F.lit("#"))
-        both = F.concat_ws(" ", edge(left, x["start"] == 0), edge(right, F.trim(tail) == ""))
-        some = lambda w, kind, *of: F.when(F.length(w) > 0, F.concat_ws(" ", F.lit(kind), *of))
+    hits = F.transform(_placed(F.col("found"), F.col("pieces")), lambda x, i: F.struct(
+        *[x[c].alias(c) for c in ("start", "end", "m")],
+        F.concat(F.get("pieces", i + 1), F.coalesce(F.get("found", i + 1), F.lit(""))).alias("after")))
+
+    def edge(word, at_edge):
+        """A side without a word: the edge of the text, or something else that is no word."""
+        return F.when(F.length(word) > 0, word).when(at_edge, F.lit("^")).otherwise(F.lit("#"))
+
+    def some(word, kind, *of):
+        return F.when(F.length(word) > 0, F.concat_ws(" ", F.lit(kind), *of))
+
+    def unit(x):
+        return x.withField("unit", F.regexp_replace(x["m"], rf"^[^\s0-9@{_MARK}]++\s++", "")).withField("seed", x["m"].contains(_MARK))
+
+    def bare(x):
+        plain = F.regexp_replace(x["unit"], r"[^\p{L}0-9]+$", "")
+        return (x.withField("label", F.regexp_extract(x["unit"], rf"^([^{_MARK}]*+){_MARK}", 1))
+                .withField("bare", F.when(x["seed"], F.regexp_extract(x["unit"], f"({_MARK}+)", 1)).otherwise(plain)))
+
+    def place(x):
+        start = x["end"] - F.length(x["unit"]) + F.length(x["label"])
+        return x.withField("at", start).withField("to", start + F.length(x["bare"])).withField("own", _word(x["label"]))
+
+    def sides(x):
+        token = F.when(x["seed"], F.substring(F.col("text"), x["at"] + 1, F.length(x["bare"]))).otherwise(x["bare"])
+        before = _word(F.regexp_extract(x["m"], rf"^([^\s0-9@{_MARK}]++)\s", 1))
+        right = _word(F.regexp_extract(x["after"], rf"^[^\p{{L}}0-9@{_MARK}]*+(\p{{L}}[^\s0-9@{_MARK}]*+)(?=\s|$)", 1))
+        return (x.withField("token", token).withField("left", F.when(F.length(x["own"]) > 0, x["own"]).otherwise(before))
+                .withField("right", right))
+
+    def instance(x):
+        left, right = x["left"], x["right"]
+        both = F.concat_ws(" ", edge(left, x["start"] == 0), edge(right, F.trim(x["after"]) == ""))
         patterns = F.array_compact(F.array(some(left, "L", left), some(right, "R", right), some(F.concat(left, right), "B", both),
-                                           some(left, "S", left, _shape(token))))
-        return F.struct(token.alias("token"), start.alias("start"), (start + F.length(bare)).alias("end"), seed.alias("seed"),
+                                           some(left, "S", left, _shape(x["token"]))))
+        return F.struct(x["token"].alias("token"), x["at"].alias("start"), x["to"].alias("end"), x["seed"].alias("seed"),
                         patterns.alias("patterns"))
 
-    return d.select("doc_id", "body", "base", F.transform("hits", instance).alias("hits"))
+    # one step after the other: what a later one reads several times is made once
+    for step in (unit, bare, place, sides, instance):
+        hits = F.transform(hits, step)
+    return d.select("doc_id", "body", "base", hits.alias("hits"))
 
 
 def scored(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:

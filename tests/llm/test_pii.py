@@ -139,3 +139,15 @@ def test_very_many_matches_keep_their_places(documents):
     got = {r.doc_id: r for r in pii.report(documents(docs)).collect()}
     for d, t in docs:
         assert got[d].base_sha256 == hashlib.sha256(base(t).encode()).hexdigest()
+
+
+def test_a_text_is_searched_for_instances_once_and_split_once(documents):
+    plan = pii.located_tokens(documents([(1, "a@b.co")]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("){1,18}+") == 2 and plan.count("CASE WHEN RLIKE(masked") == 2
+
+
+def test_words_without_signs_do_not_hide_instances(documents):
+    docs = [(i, f"mail  call  ident\n10.{i}.3.4 ok") for i in range(40)]
+    docs += [(100, "10.3.4.999"), (101, "plain words only"), (102, "ident 10.3.4.999"), (103, "é ident\t \n10.3.4.999 ok ident 10.3.4.998")]
+    got = {r.doc_id: r.spans for r in pii.report(documents(docs)).collect()}
+    assert got[100] == got[101] == "" and got[102] == "context:6:16" and got[103] == "context:10:20,context:30:40"
